@@ -12,12 +12,10 @@ MERGE_KEYS = ["resource_id", "batch_id"]
 LINEAGE = ["batch_id", "extraction_timestamp", "source_system", "api_url"]
 
 
-def explode_pages(pages: DataFrame) -> DataFrame:
-    """One row per bundle entry, with the page's envelope; a page without entries gives no row."""
+def explode_pages(pages: DataFrame, *keep: str) -> DataFrame:
+    """One row per bundle entry, with the page's envelope and ``keep``; a page without entries gives no row."""
     return pages.select(
-        "_extraction_metadata.*",
-        "file_name",
-        F.explode("fhir_bundle.entry").alias("entry"),
+        *keep, "_extraction_metadata.*", "file_name", F.explode("fhir_bundle.entry").alias("entry")
     )
 
 

@@ -86,6 +86,12 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt:
     )
 
 
+def overwrite_table_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions of a catalog table that ``df`` holds rows for; ``df`` must not read that table."""
+    columns = df.sparkSession.table(name).columns
+    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
+
+
 def write_quarantine(rejected: DataFrame, root: str, resource: str, run_date: str) -> None:
     """Rejected rows as JSON below ``<root>/<resource>/ingestion_date=<run date>``."""
     dated = rejected.withColumn("ingestion_date", F.lit(run_date))
