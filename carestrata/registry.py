@@ -703,7 +703,7 @@ def run_two_days(lh: Lakehouse) -> DataFrame:
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
     others = {
         "encounter": fx.encounters(spark, lh.sf_dir),
-        "observation": fx.observations(spark, lh.sf_dir).dropDuplicates(["order_key"]),
+        "observation": fx.observations(spark, lh.sf_dir),
         "condition": fx.conditions(spark, lh.sf_dir),
     }
     for batch in ("A", "B"):
@@ -723,7 +723,7 @@ def run_two_days(lh: Lakehouse) -> DataFrame:
         )
         run(spark, cfg)
     names = [f"{layer}_patient" for layer in ("bronze", "silver", "dim")]
-    names += ["gold_dim_patient", "gold_dim_condition", "fact_encounter", "meta_pipeline_execution_log"]
+    names += ["silver_observation", "gold_dim_patient", "gold_dim_condition", "fact_encounter", "fact_observation"]
     counted = checks.census({n: spark.table(f"{database}.{n}") for n in names})
     log = spark.table(f"{database}.meta_pipeline_execution_log").select(
         F.concat_ws(":", F.lit("log"), "run_id", "status").alias("tbl"), F.lit(1).cast("bigint").alias("cnt")

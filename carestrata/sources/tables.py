@@ -46,8 +46,10 @@ def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = Non
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet", schema=None if partition_by else df.schema)
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {layout} LOCATION '{path}'")
     if partition_by:
         spark.catalog.recoverPartitions(name)
 
