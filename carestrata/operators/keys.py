@@ -10,17 +10,20 @@ from carestrata.sources.storage import stage
 _OFFSET_BITS = 33  # monotonically_increasing_id keeps the row offset in the low 33 bits
 
 
-def dense_key(df: DataFrame, order_by: str | list[str], name: str, dtype: str = "int") -> DataFrame:
+def dense_key(df: DataFrame, order_by: str | list[str] | None, name: str, dtype: str = "int") -> DataFrame:
     """Add ``name`` = 1..n in the order of ``order_by``, the same numbers a global ``row_number`` gives.
 
-    The range sort is Spark's own. Each row's sorted block and offset are written with the rows, so the per-block
-    counts and the rows can never disagree; only one count per block is summed up and broadcast.
+    The range sort is Spark's own, and the ordering should be unique or nearly so, as business keys are: equal keys
+    cannot be split over tasks. Without ``order_by`` rows are numbered as they arrive and nothing is sorted.
+
+    Each row's block and offset are written with the rows, so the per-block counts and the rows can never disagree;
+    only one count per block is summed up and broadcast.
     """
-    order = [order_by] if isinstance(order_by, str) else order_by
-    placed = stage(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()), f"key-{name}")
+    rows = df if order_by is None else df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
+    placed = stage(rows.withColumn("_pos", F.monotonically_increasing_id()), f"key-{name}")
 
     block = F.shiftright("_pos", _OFFSET_BITS).alias("_block")
-    # one row per sorted block, so at most spark.sql.shuffle.partitions rows
+    # one row per block, so at most as many rows as the write above had tasks
     sizes = placed.groupBy(block).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -134,6 +134,20 @@ def bad_date_counts(df: DataFrame, min_year: int = 1900, max_year: int = 2026) -
     return counted.unpivot([], names, "column_name", "bad_row_count")
 
 
+def quality_metrics(flat: DataFrame, pk: str, min_year: int = 1900, max_year: int = 2026) -> DataFrame:
+    """Key counts and per-column bad dates of keyed rows together, so a run scans the flat rows once.
+
+    One row: total_rows, null_primary_key_count, and ``bad_<column>`` for each date column.
+    """
+    keyed = F.col(pk).isNotNull()
+    bad = {c: F.count_if(keyed & implausible(F.col(c), min_year, max_year)) for c in date_columns(flat)}
+    return flat.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(~keyed).alias("null_primary_key_count"),
+        *[count.alias(f"bad_{c}") for c, count in bad.items()],
+    )
+
+
 def clean(df: DataFrame, min_year: int = 1900, max_year: int = 2026) -> DataFrame:
     """Null implausible dates, trim text, upper-case status columns and gender, all in one projection."""
 

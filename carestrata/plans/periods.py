@@ -23,26 +23,22 @@ def encounters_to_date(
 ) -> DataFrame:
     """Encounters of each day with running month and year totals, for every calendar day up to the last year in use.
 
-    The fact is reduced to one row per day and group before the windows, which then hold at most a year of days.
+    The fact is reduced to one row per day and group, then to one row per year with its days in a map of at most 366
+    entries. Spreading that row over the year's calendar days fills the gaps, and the windows keep its partitioning.
     """
     keys = [internal(g) for g in group_by or []]
     frame = _sliced(star, [f"{ENCOUNTER}.start_date_key", *(group_by or [])], slicers)
-    daily = frame.groupBy(*keys, F.col(f"{ENCOUNTER}__start_date_key").alias("date_key")).agg(
-        F.count(F.lit(1)).alias("_n")
+    daily = (
+        frame.filter(F.col(f"{ENCOUNTER}__start_date_key").isNotNull())
+        .groupBy(*keys, F.col(f"{ENCOUNTER}__start_date_key").alias("date_key"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    # gap-free days per group: every group is spread over the calendar of its years
-    years = daily.filter(F.col("date_key").isNotNull()).groupBy(
-        *keys, F.floor(F.col("date_key") / 10000).cast("int").alias("year")
-    ).agg(F.lit(1).alias("_one"))
-    grid = years.drop("_one").join(
-        F.broadcast(star.days.select("year", "month", "full_date", "date_key")), "year"
+    yearly = daily.groupBy(*keys, F.floor(F.col("date_key") / 10000).cast("int").alias("year")).agg(
+        F.map_from_entries(F.collect_list(F.struct("date_key", "_n"))).alias("_days")
     )
-    side = daily.select(F.col("date_key").alias("_day"), *[F.col(k).alias(f"_{k}") for k in keys], "_n")
-    match = F.col("date_key") == F.col("_day")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    filled = grid.join(side, match, "left").select(
-        *keys, "year", "month", "full_date", F.coalesce("_n", F.lit(0)).alias("_n")
+    calendar = star.days.select("year", "month", "full_date", "date_key")  # size fixed by the calendar's bounds
+    filled = yearly.join(F.broadcast(calendar), "year").select(
+        *keys, "year", "month", "full_date", F.coalesce(F.try_element_at("_days", "date_key"), F.lit(0)).alias("_n")
     )
     by_year = Window.partitionBy(*keys, "year").orderBy("full_date")
     by_month = Window.partitionBy(*keys, "year", "month").orderBy("full_date")
@@ -58,7 +54,11 @@ def encounters_to_date(
 def _month_over_month(
     star: Star, expression: Column, name: str, uses: list[str], group_by: list[str] | None, slicers: Slicers | None
 ) -> DataFrame:
-    """Monthly value, prior month and change, by meeting each month with the next one's row in a small union."""
+    """Monthly value, prior month and change.
+
+    Each monthly row is its own month's value and the next month's prior one, so the fact is aggregated once and the
+    two meet in a second aggregation over a few rows.
+    """
     keys = [internal(g) for g in group_by or []]
     year, month = f"{DATE}.year", f"{DATE}.month"
     frame = _sliced(star, [year, month, *uses, *(group_by or [])], slicers)
@@ -66,12 +66,16 @@ def _month_over_month(
     monthly = (
         frame.filter(F.col(internal(year)).isNotNull()).groupBy(*keys, index).agg(expression.alias("_value"))
     )
-    this_month = monthly.select(*keys, _MONTH_INDEX, F.col("_value").alias("_now"))
-    next_month = monthly.select(*keys, F.col(_MONTH_INDEX) + 1, F.col("_value").alias("_prior")).toDF(
-        *keys, _MONTH_INDEX, "_prior"
+    none = F.lit(None).cast("bigint")
+    roles = F.array(
+        F.struct(F.col(_MONTH_INDEX).alias("_at"), F.col("_value").alias("_now"), none.alias("_prior")),
+        F.struct((F.col(_MONTH_INDEX) + 1).alias("_at"), none.alias("_now"), F.col("_value").alias("_prior")),
+    )
+    met = (
+        monthly.select(*keys, F.inline(roles))
+        .groupBy(*keys, F.col("_at").alias(_MONTH_INDEX))
+        .agg(F.max("_now").alias("_now"), F.max("_prior").alias("_prior"))
     )
-    both = this_month.unionByName(next_month, allowMissingColumns=True)
-    met = both.groupBy(*keys, _MONTH_INDEX).agg(F.max("_now").alias("_now"), F.max("_prior").alias("_prior"))
     bounds = star.days.agg(F.max(F.col("year") * 12 + F.col("month") - 1)).scalar()
     change = divide(F.coalesce("_now", F.lit(0)) - F.col("_prior"), F.col("_prior"), F.lit(None).cast("double"))
     return met.filter(F.col(_MONTH_INDEX) <= bounds).select(
@@ -101,17 +105,17 @@ def context_labels(star: Star, slicers: Slicers | None = None) -> DataFrame:
     if on_days:
         days = days.filter(slice_condition(on_days))
     period = days.agg(
-        only_value(F.col(f"{DATE}__year"), "All Years").alias("year"),
-        only_value(F.col(f"{DATE}__quarter"), "All Quarters").alias("quarter"),
-    )
+        F.struct(
+            only_value(F.col(f"{DATE}__year"), "All Years").alias("year"),
+            only_value(F.col(f"{DATE}__quarter"), "All Quarters").alias("quarter"),
+        )
+    ).scalar()
     on_facts = {k: v for k, v in slicers.items() if split_field(k)[0] != "gold_dim_condition"}
     frame = star.frame(ENCOUNTER, [f"{ENCOUNTER}.encounter_class", *on_facts])
     if on_facts:
         frame = frame.filter(slice_condition(on_facts))
     shown = frame.agg(only_value(F.col(f"{ENCOUNTER}__encounter_class"), "All Classes").alias("shown_class"))
-    year = period.select("year").scalar()
-    quarter = period.select("quarter").scalar()
-    return shown.select(
-        F.concat_ws(" | ", F.lit("Healthcare Analytics"), year, F.col("shown_class")).alias("page_title"),
-        F.concat(year, F.lit(" — "), quarter).alias("selected_period"),
+    return shown.withColumn("_period", period).select(
+        F.concat_ws(" | ", F.lit("Healthcare Analytics"), "_period.year", "shown_class").alias("page_title"),
+        F.concat_ws(" — ", "_period.year", "_period.quarter").alias("selected_period"),
     )

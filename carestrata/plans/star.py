@@ -259,7 +259,9 @@ def evaluate(
             match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in own])
             axis = axis.join(side, match, "left").drop(*[f"_{k}" for k in own])
         else:
-            axis = axis.withColumns({n: result.select(n).scalar() for n in names})
+            # one row, read once as a scalar subquery
+            axis = axis.withColumn("_all", result.select(F.struct(*names)).scalar())
+            axis = axis.withColumns({n: F.col("_all")[n] for n in names}).drop("_all")
 
     def value(name: str) -> Column:
         m = MEASURES[name]

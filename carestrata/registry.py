@@ -42,7 +42,7 @@ def star_of(lh: Lakehouse) -> Star:
 
 
 def _patients_of(lh: Lakehouse, batch: str) -> DataFrame:
-    return fx.patient_batches(lh.spark, lh.sf_dir).filter(F.col("batch") == batch).select("order_key", "resource")
+    return fx.patient_batches(lh.spark, lh.sf_dir).filter(F.col("batch") == batch).select("resource")
 
 
 def _land(lh: Lakehouse, resources: DataFrame, root: str, kind: str, batch_id: str, batch: str = "A") -> DataFrame:
@@ -51,7 +51,6 @@ def _land(lh: Lakehouse, resources: DataFrame, root: str, kind: str, batch_id: s
         resources,
         root,
         kind,
-        order_by="order_key",
         batch_id=batch_id,
         ingestion_date=day,
         extraction_timestamp=extracted,
@@ -113,7 +112,7 @@ def raw_folder_census(lh: Lakehouse) -> DataFrame:
     root = scratch_path(lh.spark, "raw")
     for batch in ("A", "B"):
         _land(lh, _patients_of(lh, batch), root, "patient", f"batch{batch}", batch)
-    encounters = fx.encounters(lh.spark, lh.sf_dir).select("order_key", "resource")
+    encounters = fx.encounters(lh.spark, lh.sf_dir).select("resource")
     _land(lh, encounters, root, "encounter", "batchA")
     return landing.folder_census(lh.spark, root, silver.RESOURCES)
 
@@ -710,7 +709,7 @@ def run_two_days(lh: Lakehouse) -> DataFrame:
         _land(lh, _patients_of(lh, batch), root, "patient", f"batch{batch}", batch)
         for kind, resources in others.items():
             if batch == "A":
-                _land(lh, resources.select("order_key", "resource"), root, kind, f"{kind}A")
+                _land(lh, resources.select("resource"), root, kind, f"{kind}A")
         day = fx.BATCHES[batch][0]
         cfg = RunConfig(
             raw_root=root,

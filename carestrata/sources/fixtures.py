@@ -56,7 +56,7 @@ def _text(day: Column) -> Column:
 
 
 def patient_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patient resources of both extractions: batch (A or B), order_key, resource."""
+    """Patient resources of both extractions: batch (A or B) and resource."""
     people = (
         _read(spark, sf_dir, "customer")
         .join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -98,8 +98,7 @@ def patient_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lower("c_mktsegment").alias("text")).alias("maritalStatus"),
         F.when(k % 3 != 0, F.col("c_acctbal") > 0).alias("active"),
     )
-    order_key = F.concat_ws("-", F.lpad(k.cast("string"), 20, "0"), F.col("c.id"))
-    return each.select(F.col("c.batch").alias("batch"), order_key.alias("order_key"), resource.alias("resource"))
+    return each.select(F.col("c.batch").alias("batch"), resource.alias("resource"))
 
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +122,7 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_text(start).alias("start"), _text(end).alias("end")).alias("period"),
         F.struct(_key("Supplier#", k % 100).alias("display")).alias("serviceProvider"),
     )
-    return orders.select(
-        k.alias("order_key"), resource.alias("resource"), F.lit(BATCHES["A"][1]).alias("extraction_timestamp")
-    )
+    return orders.select(resource.alias("resource"), F.lit(BATCHES["A"][1]).alias("extraction_timestamp"))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +149,6 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         day.alias("effectiveDateTime"),
     )
     return lines.select(
-        F.col("l_orderkey").alias("order_key"),
         resource.alias("resource"),
         F.concat(day, F.lit("T00:00:00+00:00")).alias("extraction_timestamp"),
     )
@@ -189,7 +185,6 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("last_day")).alias("recordedDate"),
     )
     return grouped.select(
-        F.col("o_custkey").alias("order_key"),
         resource.alias("resource"),
         F.lit(BATCHES["A"][1]).alias("extraction_timestamp"),
     )
@@ -209,7 +204,6 @@ def event_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("props"),
     )
     return events.withColumn("pull_day", F.explode(F.sequence(happened, last))).select(
-        F.col("event_id").alias("order_key"),
         resource.alias("resource"),
         F.concat(_text(day), F.lit("T06:00:00+00:00")).alias("extraction_timestamp"),
         F.concat(F.lit("b"), _text(day)).alias("batch_id"),
@@ -221,7 +215,7 @@ def as_entries(resources: DataFrame, kind: str, batch_id: str | Column, file_nam
     """Resources in the shape the page explode gives."""
     batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
     url = F.concat_ws("/", F.lit(API_URL), F.lit(kind), F.col("resource.id"))
-    rest = [c for c in resources.columns if c not in ("resource", "order_key", "batch_id")]
+    rest = [c for c in resources.columns if c not in ("resource", "batch_id")]
     return resources.select(
         *rest,
         F.lit(kind).alias("resource_type"),

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.schemas import EVENT_LOG, RESOURCE_CONFIG, RUN_LOG
@@ -100,10 +99,6 @@ def write_quarantine(rejected: DataFrame, root: str, resource: str, run_date: st
     overwrite_partitions(dated, f"{root.rstrip('/')}/{resource.lower()}", ["ingestion_date"], "json")
 
 
-def create_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
 # --- table detail and compaction ------------------------------------------------------------------------------------
 
 
@@ -180,8 +175,3 @@ def labelled_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def tolerant_counts(spark: SparkSession, names: list[str]) -> dict[str, int | None]:
     """Row count of each catalog table, None where it does not exist."""
     return {n: spark.table(n).count() if table_exists(spark, n) else None for n in names}
-
-
-def side_by_side(**values: DataFrame) -> Column:
-    """Struct of one-value frames, each a scalar subquery."""
-    return F.struct(*[df.scalar().alias(name) for name, df in values.items()])
