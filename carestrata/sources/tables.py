@@ -89,8 +89,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt:
 
 def overwrite_table_partitions(df: DataFrame, name: str) -> None:
     """Replace the partitions of a catalog table that ``df`` holds rows for; ``df`` must not read that table."""
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # an insert takes the mode from the session only
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def write_quarantine(rejected: DataFrame, root: str, resource: str, run_date: str) -> None:
