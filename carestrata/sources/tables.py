@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.schemas import EVENT_LOG, RESOURCE_CONFIG, RUN_LOG
-from carestrata.sources.storage import scratch_path
+from carestrata.sources.storage import stage
 
 # The resources of a run and their order.
 RESOURCE_CONFIG_ROWS = [
@@ -20,6 +21,9 @@ RESOURCE_CONFIG_ROWS = [
 ]
 STATUSES = ("SUCCESS", "FAILED", "PARTIAL_SUCCESS")
 
+TARGET_BYTES = 128 * 1024 * 1024
+_NEXT, _VERSION = "__next", "__v"
+
 
 # --- catalog --------------------------------------------------------------------------------------------------------
 
@@ -34,23 +38,52 @@ def list_tables(spark: SparkSession, prefix: str = "", database: str | None = No
     return spark.sql(f"SHOW TABLES{scope}").filter(F.col("tableName").startswith(prefix)).select("tableName")
 
 
+def _split(spark: SparkSession, name: str) -> tuple[str, str]:
+    """(database, table) of a possibly unqualified name."""
+    database, _, table = name.rpartition(".")
+    return database or spark.catalog.currentDatabase(), table
+
+
+def _folder(spark: SparkSession, database: str) -> str:
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
 def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    """Full overwrite with the schema of ``df``: write new files, then point the table at them.
+    """Full overwrite with the schema of ``df``: write a new version below the database, then swap names.
 
-    The old files stay until the new ones are complete, so ``df`` may read the table it replaces.
+    The old version stays until the new one is complete, so ``df`` may read the table it replaces, and its files stay
+    for readers still on them until :func:`drop_old_versions`.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name.replace(".", "-"))
-    writer = df.write.mode("errorifexists")
+    database, table = _split(spark, name)
+    fresh = f"{database}.{table}{_NEXT}"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    writer = df.write.format("parquet").option("path", f"{_folder(spark, database)}/{table}{_VERSION}{uuid.uuid4().hex}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {layout} LOCATION '{path}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
+    writer.mode("errorifexists").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {database}.{table}")
+
+
+def finish_swap(spark: SparkSession, name: str) -> None:
+    """Complete a replacement that was interrupted between dropping the old name and renaming the new one."""
+    database, table = _split(spark, name)
+    if not table_exists(spark, f"{database}.{table}") and table_exists(spark, f"{database}.{table}{_NEXT}"):
+        spark.sql(f"ALTER TABLE {database}.{table}{_NEXT} RENAME TO {database}.{table}")
+
+
+def drop_old_versions(spark: SparkSession, name: str) -> int:
+    """Delete the version folders of a table that it no longer reads; returns how many."""
+    database, table = _split(spark, name)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{table}").filter("col_name = 'Location'").first()
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark, database)}/{table}{_VERSION}*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = described["data_type"].rstrip("/").rsplit("/", 1)[1]
+    old = [s.getPath() for s in fs.globStatus(pattern) or [] if s.getPath().getName() != current]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
 
 
 def create_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> None:
@@ -63,17 +96,20 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("append").saveAsTable(name)
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def evolve_and_append(df: DataFrame, name: str) -> None:
     """Append rows whose columns may have grown; the table is rebuilt only if its schema must change."""
     spark = df.sparkSession
     current = spark.table(name)
-    if current.schema.simpleString() == df.select(*[c for c in current.columns if c in df.columns]).schema.simpleString() and set(
-        current.columns
-    ) == set(df.columns):
+    types = {f.name: f.dataType.simpleString() for f in current.schema.fields}
+    if types == {f.name: f.dataType.simpleString() for f in df.schema.fields}:
         df.select(*current.columns).write.insertInto(name)
         return
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    replace_table(current.unionByName(df, allowMissingColumns=True), name, parts or None)
+    merged = current.unionByName(df, allowMissingColumns=True)
+    replace_table(merged, name, partition_columns(spark, name) or None)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
@@ -120,31 +156,41 @@ def table_detail(df: DataFrame, partition_by: list[str] | None = None) -> DataFr
     )
 
 
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-
-
-def compact(spark: SparkSession, path: str, schema, partition_by: str, target_bytes: int = 128 * 1024 * 1024) -> None:
-    """Rewrite partitions that have more files than their bytes need.
+def _packed(table: DataFrame, partition_by: str, target_bytes: int) -> DataFrame | None:
+    """Rows of the partitions that have more files than their bytes need, dealt over the files they do need.
 
-    Rows of a partition are dealt over ``ceil(bytes / target)`` writers, so one large partition is never one task.
+    Rows go to ``ceil(bytes / target)`` writers by their position in their file, so one large partition is never one
+    task and a retried task deals the same rows the same way.
     """
-    table = spark.read.schema(schema).parquet(path)
     detail = table_detail(table, [partition_by]).withColumn(
         "_files", F.ceil(F.col("size_in_bytes") / F.lit(target_bytes)).cast("int")
     )
-    small = detail.filter(F.col("num_files") > F.col("_files"))
-    plan = small.agg(F.count(F.lit(1)).alias("n"), F.sum("_files").alias("files")).first()
-    if not plan["n"]:
-        return
+    small = detail.filter(F.col("num_files") > F.col("_files")).select(partition_by, "_files")
+    files = small.agg(F.sum("_files")).first()[0]
+    if not files:
+        return None
     numbered = table.select("*", F.col("_metadata.row_index").alias("_row"))
-    dealt = numbered.join(small.select(partition_by, "_files"), partition_by).withColumn(
-        "_slot", F.pmod("_row", "_files")
-    )
-    packed = dealt.repartition(int(plan["files"]), partition_by, "_slot").select(*table.columns)
-    staged_path = scratch_path(spark, "compact")
-    packed.write.partitionBy(partition_by).parquet(staged_path)
-    overwrite_partitions(spark.read.schema(schema).parquet(staged_path), path, [partition_by])
+    dealt = numbered.join(small, partition_by).withColumn("_slot", F.pmod("_row", "_files"))
+    return dealt.repartition(int(files), partition_by, "_slot").select(*table.columns)
+
+
+def compact(spark: SparkSession, path: str, schema, partition_by: str, target_bytes: int = TARGET_BYTES) -> None:
+    """Merge small files below ``path``; a second call finds nothing to do."""
+    packed = _packed(spark.read.schema(schema).parquet(path), partition_by, target_bytes)
+    if packed is not None:
+        overwrite_partitions(stage(packed, "compact", [partition_by]), path, [partition_by])
+
+
+def compact_table(
+    spark: SparkSession, name: str, partition_by: str, values: list[str] | None = None, target_bytes: int = TARGET_BYTES
+) -> None:
+    """The same for a catalog table, limited to the partitions ``values`` if given."""
+    table = spark.table(name)
+    if values is not None:
+        table = table.filter(F.col(partition_by).isin(values))
+    packed = _packed(table, partition_by, target_bytes)
+    if packed is not None:
+        overwrite_table_partitions(stage(packed, "compact", [partition_by]), name)
 
 
 # --- metadata tables ------------------------------------------------------------------------------------------------

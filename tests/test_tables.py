@@ -16,6 +16,24 @@ def test_replace_may_read_the_table_it_replaces(spark, database):
     assert spark.table(name).columns == ["id", "twice"]
 
 
+def test_old_versions_go_when_asked(spark, database):
+    name = f"{database}.t"
+    for n in (1, 2, 3):
+        tables.replace_table(spark.range(n), name)
+    assert tables.drop_old_versions(spark, name) == 2
+    assert tables.drop_old_versions(spark, name) == 0
+    assert spark.table(name).count() == 3
+
+
+def test_interrupted_swap_is_finished(spark, database):
+    name = f"{database}.t"
+    tables.replace_table(spark.range(4), name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__next")  # as if stopped before the rename
+    tables.finish_swap(spark, name)
+    tables.finish_swap(spark, name)
+    assert spark.table(name).count() == 4
+
+
 def test_partitioned_replace_keeps_types(spark, database):
     name = f"{database}.t"
     df = spark.createDataFrame([(1, True, dt.date(2024, 1, 1)), (2, False, None)], "id int, flag boolean, d date")
@@ -82,6 +100,16 @@ def test_compaction_deals_a_large_partition_over_files(spark, tmp_path):
     assert after.select("id").distinct().count() == 20000
 
 
+def test_compact_table_leaves_other_partitions(spark, database):
+    name = f"{database}.t"
+    df = spark.range(300).select("id", (F.col("id") % 3).cast("string").alias("p"))
+    tables.create_partitioned(df.repartition(6), name, ["p"])
+    tables.compact_table(spark, name, "p", ["1"])
+    files = {r["p"]: r["num_files"] for r in tables.table_detail(spark.table(name), ["p"]).collect()}
+    assert files["1"] == 1 and files["0"] > 1 and files["2"] > 1
+    assert spark.table(name).exceptAll(df).count() == 0 and spark.table(name).count() == 300
+
+
 def test_catalog_helpers(spark, database):
     spark.sql(f"USE {database}")
     try:
