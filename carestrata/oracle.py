@@ -308,6 +308,10 @@ def _bodies() -> dict[str, str]:
     q["bronze_top_reingested"] = """
         SELECT resource_id, count(DISTINCT batch_id) AS times_reingested FROM event_pulls GROUP BY resource_id
         HAVING count(DISTINCT batch_id) > 1 ORDER BY times_reingested DESC, resource_id LIMIT 20"""
+    q["bronze_preview"] = """
+        SELECT patient_id AS resource_id, family_name,
+            CASE k % 4 WHEN 0 THEN ' male' WHEN 1 THEN 'female ' WHEN 2 THEN 'other' END AS gender, ingestion_date
+        FROM patient_rows WHERE patient_id IS NOT NULL ORDER BY patient_id, batch_id LIMIT 10"""
     q["bronze_dup_keys"] = """
         SELECT observation_id AS resource_id, batch_id, count(*) AS cnt FROM observation_rows
         GROUP BY ALL HAVING count(*) > 1"""

@@ -164,6 +164,18 @@ def bronze_top_reingested(lh: Lakehouse) -> DataFrame:
     return checks.most_reingested(lh.table("bronze_event"))
 
 
+@_query
+def bronze_preview(lh: Lakehouse) -> DataFrame:
+    """The first ten patients by id, with a few nested fields, to look at what landed."""
+    rows = lh.table("bronze_patient").filter(F.col("resource_id").isNotNull())
+    return rows.orderBy("resource_id", "batch_id").limit(10).select(
+        "resource_id",
+        F.get("resource_data.name.family", F.lit(0)).alias("family_name"),
+        F.col("resource_data.gender").alias("gender"),
+        "ingestion_date",
+    )
+
+
 @_query
 def bronze_dup_keys(lh: Lakehouse) -> DataFrame:
     """Duplicate (id, batch) keys if the observation table had been merged without its version time."""

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.schemas import EVENT_LOG, RESOURCE_CONFIG, RUN_LOG
-from carestrata.sources.storage import stage
 
 # The resources of a run and their order.
 RESOURCE_CONFIG_ROWS = [
@@ -124,7 +123,10 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt:
 
 
 def overwrite_table_partitions(df: DataFrame, name: str) -> None:
-    """Replace the partitions of a catalog table that ``df`` holds rows for; ``df`` must not read that table."""
+    """Replace the partitions of a catalog table that ``df`` holds rows for.
+
+    New files are complete before any partition changes, so ``df`` may read the table.
+    """
     spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")  # an insert takes the mode from the session only
@@ -156,7 +158,7 @@ def table_detail(df: DataFrame, partition_by: list[str] | None = None) -> DataFr
     )
 
 
-def _packed(table: DataFrame, partition_by: str, target_bytes: int) -> DataFrame | None:
+def _packed(table: DataFrame, partition_by: str, target_bytes: int, min_files: int) -> DataFrame | None:
     """Rows of the partitions that have more files than their bytes need, dealt over the files they do need.
 
     Rows go to ``ceil(bytes / target)`` writers by their position in their file, so one large partition is never one
@@ -165,7 +167,8 @@ def _packed(table: DataFrame, partition_by: str, target_bytes: int) -> DataFrame
     detail = table_detail(table, [partition_by]).withColumn(
         "_files", F.ceil(F.col("size_in_bytes") / F.lit(target_bytes)).cast("int")
     )
-    small = detail.filter(F.col("num_files") > F.col("_files")).select(partition_by, "_files")
+    too_many = (F.col("num_files") > F.col("_files")) & (F.col("num_files") >= min_files)
+    small = detail.filter(too_many).select(partition_by, "_files")
     files = small.agg(F.sum("_files")).first()[0]
     if not files:
         return None
@@ -174,23 +177,33 @@ def _packed(table: DataFrame, partition_by: str, target_bytes: int) -> DataFrame
     return dealt.repartition(int(files), partition_by, "_slot").select(*table.columns)
 
 
-def compact(spark: SparkSession, path: str, schema, partition_by: str, target_bytes: int = TARGET_BYTES) -> None:
-    """Merge small files below ``path``; a second call finds nothing to do."""
-    packed = _packed(spark.read.schema(schema).parquet(path), partition_by, target_bytes)
+def compact(
+    spark: SparkSession, path: str, schema, partition_by: str, target_bytes: int = TARGET_BYTES, min_files: int = 2
+) -> None:
+    """Merge small files below ``path`` where a partition has at least ``min_files``; a second call finds nothing.
+
+    The rewrite replaces whole partitions when it commits, so a failed one leaves the old files.
+    """
+    packed = _packed(spark.read.schema(schema).parquet(path), partition_by, target_bytes, min_files)
     if packed is not None:
-        overwrite_partitions(stage(packed, "compact", [partition_by]), path, [partition_by])
+        overwrite_partitions(packed, path, [partition_by])
 
 
 def compact_table(
-    spark: SparkSession, name: str, partition_by: str, values: list[str] | None = None, target_bytes: int = TARGET_BYTES
+    spark: SparkSession,
+    name: str,
+    partition_by: str,
+    values: list[str] | None = None,
+    target_bytes: int = TARGET_BYTES,
+    min_files: int = 2,
 ) -> None:
     """The same for a catalog table, limited to the partitions ``values`` if given."""
     table = spark.table(name)
     if values is not None:
         table = table.filter(F.col(partition_by).isin(values))
-    packed = _packed(table, partition_by, target_bytes)
+    packed = _packed(table, partition_by, target_bytes, min_files)
     if packed is not None:
-        overwrite_table_partitions(stage(packed, "compact", [partition_by]), name)
+        overwrite_table_partitions(packed, name)
 
 
 # --- metadata tables ------------------------------------------------------------------------------------------------
