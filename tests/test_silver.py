@@ -123,3 +123,29 @@ def test_partition_filter(spark):
     out = silver.to_silver(df, "encounter", ingestion_date="2024-01-02")
     assert [r["encounter_id"] for r in out.collect()] == ["2"]
     assert out.columns[-2:] == ["silver_load_timestamp", "record_hash"]
+
+
+def test_day_by_day_refresh_equals_the_whole_transform(spark):
+    import random
+
+    rng = random.Random(5)
+    bodies = []
+    for day in range(1, 6):
+        for _ in range(30):
+            lineage = (
+                f"b{day}{rng.randint(0, 1)}",
+                dt.datetime(2024, 1, rng.randint(1, day)),
+                dt.datetime(2024, 1, 1),
+                "SYS",
+                f"2024-01-0{day}",
+            )
+            bodies.append(({"id": rng.choice([None, *map(str, range(12))]), "status": rng.choice("abc")}, lineage))
+    df = bronze(spark, "encounter", *bodies).cache()
+    load = dt.datetime(2024, 2, 1)
+    step = silver.to_silver(df, "encounter", ingestion_date="2024-01-01", load_ts=load)
+    for day in range(2, 6):
+        step = silver.refresh_silver(step, df, "encounter", f"2024-01-0{day}", load_ts=load)
+    whole = silver.to_silver(df, "encounter", load_ts=load)
+    assert step.exceptAll(whole).count() == 0 and whole.exceptAll(step).count() == 0
+    again = silver.refresh_silver(whole, df, "encounter", "2024-01-03", load_ts=load)
+    assert again.exceptAll(whole).count() == 0 and again.count() == whole.count()
