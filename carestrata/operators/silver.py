@@ -96,10 +96,12 @@ def primary_key(resource: str) -> str:
     return f"{resource.lower()}_id"
 
 
-def flatten(bronze: DataFrame, resource: str, ingestion_date: str | None = None) -> DataFrame:
-    """One flat row per Bronze row; ``ingestion_date`` reads only that partition."""
-    if ingestion_date is not None:
+def flatten(bronze: DataFrame, resource: str, ingestion_date: str | list[str] | None = None) -> DataFrame:
+    """One flat row per Bronze row; ``ingestion_date`` reads only the partitions of that day or those days."""
+    if isinstance(ingestion_date, str):
         bronze = bronze.filter(F.col("ingestion_date") == ingestion_date)
+    elif ingestion_date is not None:
+        bronze = bronze.filter(F.col("ingestion_date").isin(ingestion_date))
     business = _BUSINESS[resource.lower()]()
     return bronze.select(
         F.col("resource_id").alias(primary_key(resource)),
@@ -192,7 +194,13 @@ def newest(df: DataFrame, pk: str) -> DataFrame:
 
 
 def _prepared(
-    bronze: DataFrame, resource: str, ingestion_date: str | None, load_ts, min_year: int, max_year: int, structural: bool
+    bronze: DataFrame,
+    resource: str,
+    ingestion_date: str | list[str] | None,
+    load_ts: datetime | None,
+    min_year: int,
+    max_year: int,
+    structural: bool,
 ) -> DataFrame:
     """Keyed, cleaned and hashed rows before dedup."""
     keyed, _ = split_quarantine(flatten(bronze, resource, ingestion_date), primary_key(resource))
@@ -224,14 +232,14 @@ def refresh_silver(
     existing: DataFrame,
     bronze: DataFrame,
     resource: str,
-    ingestion_date: str,
+    ingestion_date: str | list[str],
     *,
     load_ts: datetime | None = None,
     min_year: int = 1900,
     max_year: int = 2026,
     structural: bool = False,
 ) -> DataFrame:
-    """Silver after one more day, from the stored Silver and that day's Bronze partition only.
+    """Silver after one more day (or several), from the stored Silver and those days' Bronze partitions only.
 
     Newest-wins can be taken in steps, so this equals the transform over all of Bronze as long as Bronze only grows
     and the rules stay the same; the cost follows the number of ids and not the length of the history.

@@ -339,6 +339,7 @@ def _bodies() -> dict[str, str]:
     # Silver
     for resource in _BRONZE:
         q[f"silver_{resource}"] = _silver(resource)
+    q["silver_patient_stepwise"] = q["silver_patient"]
     q["silver_quarantine_metrics"] = _union(
         [
             f"SELECT '{r}' AS resource_type, count(*) AS total_rows, "

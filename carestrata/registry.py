@@ -308,6 +308,13 @@ def silver_patient(lh: Lakehouse) -> DataFrame:
     return lh.derive("silver_patient")
 
 
+@_query
+def silver_patient_stepwise(lh: Lakehouse) -> DataFrame:
+    """Silver of the first day refreshed with the second day's partition: the same as reading both at once."""
+    stored, day = lh.table("silver_patient_first"), fx.BATCHES["B"][0]
+    return silver.refresh_silver(stored, lh.table("bronze_patient"), "patient", day, load_ts=LOADED_AT)
+
+
 @_query
 def silver_encounter(lh: Lakehouse) -> DataFrame:
     return lh.derive("silver_encounter")
