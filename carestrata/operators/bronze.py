@@ -60,12 +60,16 @@ def rows_to_insert(
     """Source rows whose key is not in the target; null keys never match and are inserted.
 
     ``partition_dates`` prunes the target to those ``ingestion_date`` folders. Pass it when a batch id belongs to one
-    date, so that no older partition can hold the key. The target's keys are reduced before the shuffle, and a key
-    repeated in the source may be split by the adaptive skew join.
+    date, so that no older partition can hold the key.
+
+    The target's keys are reduced to distinct ones before they are shuffled for the join. They are reduced under one
+    more column than the join uses, so that the join shuffles both sides itself: only then can the adaptive skew join
+    split a key that many source rows share.
     """
     if partition_dates is not None:
         target = target.filter(F.col("ingestion_date").isin(partition_dates))
-    return source.join(target.select(*keys).distinct(), keys, "left_anti").select(*source.columns)
+    held = target.select(*keys, F.xxhash64(*keys).alias("_h")).distinct().drop("_h")
+    return source.join(held, keys, "left_anti").select(*source.columns)
 
 
 def merge_insert_new(

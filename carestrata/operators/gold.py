@@ -33,8 +33,8 @@ def dim_date(spark: SparkSession, start: date = CALENDAR_START, end: date = CALE
     )
 
 
-def gold_dim_patient(dim_patient: DataFrame, as_of: date) -> DataFrame:
-    """Current patients with a dense surrogate key, age and age band."""
+def gold_dim_patient(dim_patient: DataFrame, as_of: date, key_type: str = "int") -> DataFrame:
+    """Current patients with a dense surrogate key, age and age band; beyond 2^31 patients take ``bigint`` keys."""
     age = F.col("age")
     people = current_rows(dim_patient).select(
         F.col("patient_id").alias("patient_business_key"),
@@ -44,7 +44,7 @@ def gold_dim_patient(dim_patient: DataFrame, as_of: date) -> DataFrame:
         *["family_name", "given_name", "city", "state", "postal_code", "country"],
         *["marital_status", "active_flag", "scd_effective_start_date", "scd_effective_end_date"],
     )
-    keyed = dense_key(people, "patient_business_key", "patient_sk")
+    keyed = dense_key(people, "patient_business_key", "patient_sk", key_type)
     return keyed.select(
         *["patient_sk", "patient_business_key", "gender", "birth_date", "age"],
         cal.age_band(age).alias("age_group"),
@@ -53,7 +53,7 @@ def gold_dim_patient(dim_patient: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def gold_dim_condition(dim_condition: DataFrame) -> DataFrame:
+def gold_dim_condition(dim_condition: DataFrame, key_type: str = "int") -> DataFrame:
     """Current conditions with a dense surrogate key."""
     kept = current_rows(dim_condition).select(
         F.col("condition_id").alias("condition_business_key"),
@@ -61,7 +61,7 @@ def gold_dim_condition(dim_condition: DataFrame) -> DataFrame:
         F.col("patient_id").alias("patient_business_key"),
         *["onset_date", "recorded_date", "scd_effective_start_date", "scd_effective_end_date"],
     )
-    keyed = dense_key(kept, "condition_business_key", "condition_sk")
+    keyed = dense_key(kept, "condition_business_key", "condition_sk", key_type)
     return keyed.select("condition_sk", *kept.columns)
 
 

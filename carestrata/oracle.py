@@ -286,8 +286,8 @@ def _bodies() -> dict[str, str]:
             CAST(CASE WHEN k % 41 = 0 THEN 0 ELSE 1 END AS INTEGER) AS names, postal_code
         FROM people"""
     q["bronze_manifest_valid"] = """
-        SELECT 'complete' AS batch_id, true AS is_valid, CAST(ceil(count(*) / 50.0) AS INTEGER) AS page_count,
-            CAST(count(*) AS INTEGER) AS total_records FROM customer
+        SELECT 'complete' AS batch_id, true AS is_valid, CAST(ceil(count(*) / 50.0) AS BIGINT) AS page_count,
+            count(*) AS total_records FROM customer
         UNION ALL SELECT unnest(['missing', 'extra', 'unreadable']), false, NULL, NULL"""
     q["raw_folder_census"] = """
         SELECT 'patient' AS resource_type, count(DISTINCT ingestion_date) AS date_folders FROM patient_rows

@@ -173,7 +173,8 @@ def _packed(table: DataFrame, partition_by: str, target_bytes: int, min_files: i
     if not files:
         return None
     numbered = table.select("*", F.col("_metadata.row_index").alias("_row"))
-    dealt = numbered.join(small, partition_by).withColumn("_slot", F.pmod("_row", "_files"))
+    # one row per partition to rewrite; a shuffle by partition would put a day into one task
+    dealt = numbered.join(F.broadcast(small), partition_by).withColumn("_slot", F.pmod("_row", "_files"))
     return dealt.repartition(int(files), partition_by, "_slot").select(*table.columns)
 
 
