@@ -18,7 +18,7 @@ from carestrata.plans.star import (
     evaluate,
     internal,
     reaches,
-    slice_condition,
+    slice_frame,
 )
 
 # The observation codes two charts are limited to, and the slicer fields of both pages.
@@ -74,8 +74,7 @@ def encounters_by_state(star: Star, slicers: Slicers | None = None) -> DataFrame
 
 def _sliced_encounters(star: Star, fields: list[str], slicers: Slicers | None) -> DataFrame:
     active = {k: v for k, v in (slicers or {}).items() if reaches(ENCOUNTER, k)}
-    frame = star.frame(ENCOUNTER, [*fields, *active])
-    return frame.filter(slice_condition(active)) if active else frame
+    return slice_frame(star, star.frame(ENCOUNTER, [*fields, *active]), ENCOUNTER, active)
 
 
 def _encounters_with_codes(star: Star, by_month: bool, slicers: Slicers | None, codes: list[str]) -> DataFrame:

@@ -25,6 +25,12 @@ PARTITIONS = {
     "dim_condition": ["scd_current_flag"],
 }
 
+# Facts whose stored copy is laid out by day: day key, row key.
+BY_DAY = {
+    "fact_encounter": ("start_date_key", "encounter_id"),
+    "fact_observation": ("observation_date_key", "observation_id"),
+}
+
 
 class Lakehouse:
     """Named tables over ``sf_dir``; :meth:`table` reads the stored copy, :meth:`derive` gives the plan that makes it."""
@@ -36,7 +42,10 @@ class Lakehouse:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._stored:
-            self._stored[name] = stage(self.derive(name), name, PARTITIONS.get(name))
+            rows = self.derive(name)
+            if name in BY_DAY:
+                rows = gold.clustered_by_day(rows, *BY_DAY[name])
+            self._stored[name] = stage(rows, name, PARTITIONS.get(name))
         return self._stored[name]
 
     def derive(self, name: str) -> DataFrame:

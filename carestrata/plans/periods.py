@@ -6,7 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.functions.aggregates import blank_if_zero, distinct_with_blank, divide, only_value, rows
-from carestrata.plans.star import DATE, ENCOUNTER, Slicers, Star, internal, slice_condition, split_field
+from carestrata.plans.star import (
+    DATE,
+    ENCOUNTER,
+    Slicers,
+    Star,
+    internal,
+    slice_condition,
+    slice_frame,
+    split_field,
+)
 
 _MONTH_INDEX = "_month_index"
 
@@ -112,8 +121,7 @@ def context_labels(star: Star, slicers: Slicers | None = None) -> DataFrame:
     ).scalar()
     on_facts = {k: v for k, v in slicers.items() if split_field(k)[0] != "gold_dim_condition"}
     frame = star.frame(ENCOUNTER, [f"{ENCOUNTER}.encounter_class", *on_facts])
-    if on_facts:
-        frame = frame.filter(slice_condition(on_facts))
+    frame = slice_frame(star, frame, ENCOUNTER, on_facts)
     shown = frame.agg(only_value(F.col(f"{ENCOUNTER}__encounter_class"), "All Classes").alias("shown_class"))
     return shown.withColumn("_period", period).select(
         F.concat_ws(" | ", F.lit("Healthcare Analytics"), "_period.year", "shown_class").alias("page_title"),

@@ -95,6 +95,26 @@ def slice_condition(slicers: Slicers) -> Column:
     return reduce(lambda a, b: a & b, [one(n, v) for n, v in slicers.items()])
 
 
+def slice_frame(star: Star, frame: DataFrame, fact: str, slicers: Slicers, relations: dict | None = None) -> DataFrame:
+    """``frame`` under ``slicers``, whose fields it must hold.
+
+    A date slicer also bounds the fact's own date key by the first and last day it selects. That range reaches the
+    scan, where files clustered by day are skipped.
+    """
+    if not slicers:
+        return frame
+    on_days = {n: v for n, v in slicers.items() if split_field(n)[0] == DATE and None not in v}
+    if on_days:
+        fact_key, day_key = (relations or RELATIONS)[fact][DATE]
+        days = star.source(DATE).select(
+            F.col(day_key).alias("_key"), *[F.col(split_field(n)[1]).alias(internal(n)) for n in on_days]
+        ).filter(slice_condition(on_days))
+        own = F.col(f"{fact}__{fact_key}")
+        first, last = days.agg(F.min("_key")).scalar(), days.agg(F.max("_key")).scalar()
+        frame = frame.filter((own >= first) & (own <= last))
+    return frame.filter(slice_condition(slicers))
+
+
 # --- measures -------------------------------------------------------------------------------------------------------
 
 
@@ -229,9 +249,9 @@ def evaluate(
     partial: list[tuple[DataFrame, list[str], list[str]]] = []
     for (fact, role, groups, active), names in contexts.items():
         uses = [u for n in names for u in MEASURES[n].uses]
-        frame = star.frame(fact, [*groups, *active, *uses], DISCHARGE if role == "discharge" else None)
-        if active:
-            frame = frame.filter(slice_condition({s: slicers[s] for s in active}))
+        relations = DISCHARGE if role == "discharge" else None
+        frame = star.frame(fact, [*groups, *active, *uses], relations)
+        frame = slice_frame(star, frame, fact, {s: slicers[s] for s in active}, relations)
         keys = [internal(g) for g in groups]
         result = frame.groupBy(*keys).agg(*[MEASURES[n].expression().alias(n) for n in names])
         if len(groups) == len(group_by):

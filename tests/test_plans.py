@@ -57,6 +57,26 @@ def test_class_chart_reads_one_column(spark, sf_dir):
     assert "ReadSchema: struct<encounter_class:string>" in text
 
 
+def test_date_slicer_reaches_the_fact_scan(spark, sf_dir):
+    from carestrata.plans.star import DATE, evaluate
+    from carestrata.registry import star_of
+
+    star = star_of(open_lakehouse(spark, sf_dir))
+    sliced = evaluate(star, ["total_encounters"], None, {f"{DATE}.year": [2023]})
+    assert sliced.first()[0] == star.encounters.filter("start_date_key div 10000 = 2023").count()
+    scan = next(l for l in plan(sliced).splitlines() if "FileScan" in l and "start_date_key" in l)
+    assert re.search(r"DataFilters: \[[^\]]*start_date_key#\d+ >= ", scan)
+
+
+def test_facts_are_laid_out_by_day(spark, sf_dir):
+    facts = open_lakehouse(spark, sf_dir).table("fact_encounter")
+    spans = facts.groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min("start_date_key").alias("lo"), F.max("start_date_key").alias("hi")
+    )
+    ordered = sorted((r["lo"], r["hi"]) for r in spans.collect())
+    assert all(a[1] <= b[0] for a, b in zip(ordered, ordered[1:]))
+
+
 def test_surrogate_keys_rank_no_row_in_a_single_task(spark, sf_dir):
     text = plan(all_queries()["gold_dim_patient"](spark, sf_dir))
     window = text[text.index("Window ") :]
