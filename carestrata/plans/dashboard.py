@@ -7,19 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestrata.plans.star import (
-    CONDITION,
-    DATE,
-    ENCOUNTER,
-    OBSERVATION,
-    PATIENT,
-    Slicers,
-    Star,
-    evaluate,
-    internal,
-    reaches,
-    slice_frame,
-)
+from carestrata.plans.star import DATE, ENCOUNTER, PATIENT, Slicers, Star, evaluate, reaches, slice_frame
 
 # The observation codes two charts are limited to, and the slicer fields of both pages.
 CHART_CODES = ["Blood Pressure", "Body Weight", "Heart rate", "Blood Glucose"]

@@ -171,7 +171,7 @@ def _stay(aggregate: Callable[[Column], Column], inpatient: bool) -> Callable[[]
     return build
 
 
-def _ratio(alternate: Column | None) -> Callable[[Column, Column], Column]:
+def _ratio(alternate: float) -> Callable[[Column, Column], Column]:
     return lambda a, b: divide(a, b, F.lit(alternate))
 
 

@@ -8,7 +8,10 @@ from carestrata.operators import silver
 from carestrata.schemas import RESOURCE_DDL
 
 LINEAGE = ("b1", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), "SYS", "2024-01-01")
-LINEAGE_DDL = "batch_id string, extraction_timestamp timestamp, load_timestamp timestamp, source_system string, ingestion_date string"
+LINEAGE_DDL = (
+    "batch_id string, extraction_timestamp timestamp, load_timestamp timestamp, source_system string, "
+    "ingestion_date string"
+)
 
 
 def bronze(spark, resource, *bodies):

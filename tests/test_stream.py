@@ -1,4 +1,4 @@
-from test_bronze import DAY, land, patients
+from test_bronze import DAY, land
 
 from carestrata.operators.bronze import bronze_rows, explode_pages
 from carestrata.sources import landing
@@ -38,6 +38,3 @@ def test_replay_from_a_lost_checkpoint_adds_nothing(spark, tmp_path):
     assert ingest(spark, root, tmp_path, "first").count() == 60
     assert ingest(spark, root, tmp_path, "second").count() == 60
 
-
-def test_fixture_is_used():
-    assert callable(patients)
