@@ -28,9 +28,9 @@ SHARD_BYTES = 8 << 20
 #: distinct words a worker remembers with their ids before it starts anew
 REMEMBERED_WORDS = 600_000
 
-INDEX_ENTRY = struct.Struct("<qQQ")
-_HEAD = struct.Struct("<QI")
-_CHECK = struct.Struct("<I")
+INDEX_ENTRY = "<qQQ"
+_HEAD = "<QI"
+_CHECK = "<I"
 
 
 #: bytes whose checksum contributions are looked up side by side
@@ -111,14 +111,14 @@ def read_frames(data: bytes) -> list[tuple[int, bytes]]:
     """``(offset, payload)`` of every frame; raises on a truncated frame or a wrong checksum."""
     at, found, wanted = 0, [], []
     while at < len(data):
-        if at + _HEAD.size > len(data):
+        if at + struct.calcsize(_HEAD) > len(data):
             raise ValueError(f"truncated frame at {at}")
-        length, check = _HEAD.unpack_from(data, at)
-        end = at + _HEAD.size + length
+        length, check = struct.unpack_from(_HEAD, data, at)
+        end = at + struct.calcsize(_HEAD) + length
         if end + 4 > len(data):
             raise ValueError(f"truncated frame or wrong length at {at}")
-        found.append((at, data[at + _HEAD.size : end]))
-        wanted.append((check, _CHECK.unpack_from(data, end)[0]))
+        found.append((at, data[at + struct.calcsize(_HEAD) : end]))
+        wanted.append((check, struct.unpack_from(_CHECK, data, end)[0]))
         at = end + 4
     for start in range(0, len(found), 512):
         part = found[start : start + 512]
@@ -230,7 +230,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_b
                     keys = [-(2**63) if doc is None else doc for doc in part["doc_id"]]
                     tokens = [ids + end for ids in encoder.encode([text or "" for text in part["text"]])]
                     for key, ids, out in zip(keys, tokens, frames([struct.pack("<q", k) + t for k, t in zip(keys, tokens)])):
-                        index.append(INDEX_ENTRY.pack(key, at, len(ids) // encoder.dtype.itemsize))
+                        index.append(struct.pack(INDEX_ENTRY, key, at, len(ids) // encoder.dtype.itemsize))
                         at += len(out)
                         yield out
 
