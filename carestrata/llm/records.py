@@ -283,14 +283,12 @@ def document_digests(records: DataFrame) -> DataFrame:
     Sums of whole shards are one row per shard and are added up first; within a shard the running sum is a window over
     that shard's records, whose number the shard size bounds.
     """
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     digests = stage(records.select("shard", "place", "doc_id", "n_tokens", "ids_crc32"), "records-digests")
     totals = digests.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = totals.select("shard", F.coalesce(F.sum("n").over(_EARLIER), F.lit(0)).alias("base"))
-    inside = F.coalesce(F.sum("n_tokens").over(_EARLIER_IN_SHARD), F.lit(0))
+    before = totals.select("shard", F.coalesce(F.sum("n").over(earlier(Window.orderBy("shard"))), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("n_tokens").over(earlier(Window.partitionBy("shard").orderBy("place"))), F.lit(0))
     return digests.withColumn("inside", inside).join(before, "shard").select(
         "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
 
-
-_EARLIER = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-_EARLIER_IN_SHARD = Window.partitionBy("shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
