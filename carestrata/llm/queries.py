@@ -21,6 +21,12 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.mixing import poisson_mix
+
+    return poisson_mix(table(spark, sf_dir, "documents"))
+
+
 def op5_deletion_variant_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carestrata.llm.simhash import simhash_components
 
@@ -34,5 +40,18 @@ def op7_framed_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digests(read_records(spark, folder))
 
 
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.arc import archive_digests, convert_archives, read_warc, write_arc
+
+    folder = convert_archives(spark, write_arc(table(spark, sf_dir, "pages")))
+    return archive_digests(read_warc(spark, folder))
+
+
+def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.decontam import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
