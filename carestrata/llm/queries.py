@@ -47,6 +47,12 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_digests(read_warc(spark, folder))
 
 
+def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.toxicity import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carestrata.llm.decontam import contamination
 
