@@ -53,7 +53,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 def signatures(fps: DataFrame) -> DataFrame:
     """``(key, fp)``: 64 keys for each fingerprint; the key holds segment, left-out bit and the segment's other bits."""
-    keys = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("b"))
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = fps.repartition(spread).select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("b"))
     segment = "shiftrightunsigned(fp, 32 * (b div 32)) & 4294967295L"
     return keys.select(
         F.expr(f"shiftleft(cast(b as bigint), 32) | (({segment}) & ~shiftleft(1L, cast(b % 32 as int)))").alias("key"), "fp"
@@ -71,7 +72,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
         raise ValueError("two segments with one left-out bit find at most two differing bits")
     keys = signatures(fps)
     shared = stage(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-keys")
-    members = stage(keys.join(shared, "key"), "simhash-members")
+    # the list of shared keys grows with the input, so it is never broadcast
+    members = stage(keys.join(shared.hint("merge"), "key"), "simhash-members")
 
     few = members.where(F.col("n") <= PAIRED_KEY)
     other = few.select("key", F.col("fp").alias("other"))
