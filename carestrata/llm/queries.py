@@ -27,6 +27,12 @@ def op3_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_recurrent_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_deletion_variant_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carestrata.llm.simhash import simhash_components
 
