@@ -21,6 +21,12 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bootstrapped_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.pii import find_personal_data, span_digests
+
+    return span_digests(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op3_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carestrata.llm.mixing import poisson_mix
 
