@@ -49,7 +49,7 @@ def op7_framed_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carestrata.llm.records import document_digests, read_records, write_records
 
     folder = write_records(table(spark, sf_dir, "documents"), tokenizer_path())
-    return document_digests(read_records(spark, folder))
+    return document_digests(read_records(spark, folder, with_ids=False))
 
 
 def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

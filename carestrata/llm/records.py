@@ -26,7 +26,7 @@ END_ID = 2
 #: text bytes a data shard aims at
 SHARD_BYTES = 8 << 20
 #: distinct words a worker remembers with their ids before it starts anew
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 1_000_000
 
 INDEX_ENTRY = "<qQQ"
 _HEAD = "<QI"
@@ -247,34 +247,35 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_b
     return folder
 
 
-def read_records(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, folder: str, wide: bool = False, with_ids: bool = True) -> DataFrame:
     """``(shard, place, doc_id, n_tokens, ids_crc32, ids)`` of every record, checksums verified.
 
-    ``ids`` is the array of token ids; leave it out of a selection that does not need it. ``wide`` tells that ids take
-    four bytes.
+    ``ids`` is the array of token ids, left out without ``with_ids``. ``wide`` tells that ids take four bytes.
     """
     dtype = np.dtype("<u4" if wide else "<u2")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "data-*.rec").load(folder).select("path", "content")
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.read.schema(schema).format("binaryFile").option("pathGlobFilter", "data-*.rec").load(folder)
 
     def run(batches):
+        kinds = pa.schema([(n, pa.int32() if n == "shard" else pa.int64()) for n in names[:5]])
+        if with_ids:
+            kinds = kinds.append(pa.field("ids", pa.list_(pa.int64())))
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
                 shard = int(re.search(r"data-(\d+)\.rec$", path.as_py())[1])
-                rows = []
-                for place, (_, payload) in enumerate(read_frames(content.as_py())):
-                    doc = struct.unpack_from("<q", payload)[0]
-                    ids = np.frombuffer(payload, dtype, offset=8).astype("<u4")
-                    rows.append((shard, place, None if doc == -(2**63) else doc, len(ids), zlib.crc32(ids.tobytes()), ids))
-                for start in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows[start : start + 500]), _RECORD_TYPES)], _RECORD_NAMES
-                    )
-
-    return files.mapInArrow(run, "shard int, place long, doc_id long, n_tokens long, ids_crc32 long, ids array<long>")
-
-
-_RECORD_NAMES = ["shard", "place", "doc_id", "n_tokens", "ids_crc32", "ids"]
-_RECORD_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                found = read_frames(content.as_py())
+                for start in range(0, len(found), 500):
+                    rows = []
+                    for place, (_, payload) in enumerate(found[start : start + 500], start):
+                        doc = struct.unpack_from("<q", payload)[0]
+                        ids = np.frombuffer(payload, dtype, offset=8).astype("<u4")
+                        row = (shard, place, None if doc == -(2**63) else doc, len(ids), zlib.crc32(ids.tobytes()))
+                        rows.append((*row, ids.astype(np.int64)) if with_ids else row)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), kinds)], schema=kinds)
+
+    names = ["shard", "place", "doc_id", "n_tokens", "ids_crc32", "ids"]
+    types = "shard int, place long, doc_id long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
+    return files.select("path", "content").mapInArrow(run, types)
 
 
 def document_digests(records: DataFrame) -> DataFrame:
