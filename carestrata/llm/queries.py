@@ -45,6 +45,12 @@ def op5_deletion_variant_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op6_lyndon_group_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.suffix import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_framed_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carestrata.llm.records import document_digests, read_records, write_records
 
