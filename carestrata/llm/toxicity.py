@@ -25,6 +25,8 @@ EPOCHS = 16
 #: small samples are gone through until there were so many steps
 MIN_STEPS = 320
 BATCH = 64
+#: share of a passage's subwords that a training step sees
+SHOWN = 0.5
 THRESHOLD = 0.7
 #: words a task remembers with their scores before it starts anew
 REMEMBERED_WORDS = 400_000
@@ -171,6 +173,8 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> M
             chosen = np.concatenate((chosen, passages[clean] + rng.integers(0, lengths[clean] - width[clean] + 1)))
             wanted = np.concatenate((toxic[batch], np.zeros(len(clean), np.int64)))
             bags = [_gather(flat, starts, stream[first[k] : last[k]]) for k in chosen]
+            # any subword may be missing, as in a misspelt word
+            bags = [b[np.append(rng.random(len(b) - 1) < SHOWN, True)] for b in bags]
             counts = np.array([len(c) for c in bags])
             rows = np.concatenate(bags)
             vectors = np.add.reduceat(embedding[rows], _offsets(counts), axis=0) / counts[:, None]
