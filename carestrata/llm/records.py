@@ -129,6 +129,9 @@ def read_frames(data: bytes) -> list[tuple[int, bytes]]:
     return found
 
 
+_MARKS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+
+
 class Encoder:
     """Whole-text ids of a byte-level BPE whose words start at a space, with a bounded memory of words.
 
@@ -145,29 +148,40 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        getattr(self.tokenizer.model, "_resize_cache", lambda n: None)(0)  # words are remembered here instead
         space = self.tokenizer.encode(" ").tokens[0]
         self.starts = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
         self.line_end = self.whole(["\n"])[0]
+        self.tails: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
-        """Remember the ids of words after a space, and of words that start a line together with the line end."""
-        spaced = [w for w in words if w[0] != "\n"]
+        """Remember the ids of words after a space, and of words that start a line together with the line end.
+
+        Marks after a letter or digit are tokens of their own, so only the word before them has to be encoded.
+        """
+        marked = {w: base for w in words if (base := w.rstrip(_MARKS)) != w and base[-1:].isalnum()}
+        plain = {marked.get(w, w) for w in words}
+        spaced = [w for w in plain if w[0] != "\n" and w not in self.known]
         size = self.dtype.itemsize
         for start in range(0, len(spaced), 500):
             part = spaced[start : start + 500]
             run = self.whole(["".join([" " + w for w in part])])[0]
             cuts = np.append(np.flatnonzero(self.starts[np.frombuffer(run, self.dtype)]) * size, len(run)).tolist()
             self.known.update(zip(part, [run[a:b] for a, b in zip(cuts[:-1], cuts[1:])]))
-        lines = [w for w in words if w[0] == "\n"]
+        lines = [w for w in plain if w[0] == "\n" and w not in self.known]
         self.known.update(zip(lines, self.whole(lines)))
+        tails = list({w[len(base) :] for w, base in marked.items()} - self.tails.keys())
+        self.tails.update(zip(tails, self.whole(tails)))
+        for w, base in marked.items():
+            self.known[w] = self.known[base] + self.tails[w[len(base) :]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED_WORDS:
-            self.known = {}
+            self.known, self.tails = {}, {}
         split: list[list[str] | None] = []
         for text in texts:
             regular = text and text.replace("\n", " ").split(" ") == text.split()

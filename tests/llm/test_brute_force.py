@@ -217,7 +217,7 @@ def test_words_are_encoded_as_in_the_whole_text():
 
     pick, encoder = random.Random(2), None
     encoder = Encoder(tokenizer_path())
-    parts = ["a", "it's", " ", "  ", "\n", "\n\n", "\t", "<|endoftext|>", "é", "漢字", "\x1d", "\x85", "\xa0", "12", "...", "​", "\U0001f600"]
+    parts = ["a", "it's", " ", "  ", "\n", "\n\n", "\t", "<|endoftext|>", "é", "漢字", "\x1d", "\x85", "\xa0", "12", "...", ",", "a.b", "a\u0301%%%", "²;", "​", "\U0001f600"]
     texts = ["".join(pick.choices(parts, k=pick.randint(0, 12))) for _ in range(600)]
     assert encoder.encode(texts) == encoder.whole(texts)
 
