@@ -49,14 +49,17 @@ def arc_record(version: int, name: str, offset: int, url: str | None, content: b
 
 def members(data: bytes) -> Iterator[tuple[int, bytes]]:
     """``(offset, bytes)`` of every gzip member of a file."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        unpack = zlib.decompressobj(31)
-        out = unpack.decompress(data[at:])
-        if not unpack.eof:
-            raise ValueError(f"truncated member at {at}")
-        yield at, out
-        at = len(data) - len(unpack.unused_data)
+        unpack, parts, end = zlib.decompressobj(31), [], at
+        while not unpack.eof:
+            chunk = view[end : end + 16384]
+            if not chunk:
+                raise ValueError(f"truncated member at {at}")
+            parts.append(unpack.decompress(chunk))
+            end += len(chunk)
+        yield at, b"".join(parts)
+        at = end - len(unpack.unused_data)
 
 
 def packed(data: bytes) -> bytes:
