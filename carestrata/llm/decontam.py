@@ -47,17 +47,19 @@ def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def masked_hashes(hashes: np.ndarray, places: tuple[int, ...], width: int) -> np.ndarray:
-    """Hash of the words at ``places`` of every window of ``width`` words."""
-    n = len(hashes) - width + 1
-    total = np.full(max(n, 0), np.uint64(width * 1_000_003), dtype=np.uint64)
-    for p in places:
-        total += _mix(hashes[p : p + n] + np.uint64(0x9E3779B97F4A7C15 * (p + 1) % 2**64))
-    return _mix(total)
+def masked_hashes(hashes: np.ndarray, width: int) -> list[np.ndarray]:
+    """Under each mask the hash of every window of ``width`` words, ignored places left out.
 
-
-def _masks(width: int) -> list[tuple[int, ...]]:
-    return MASKS if width == WINDOW else [tuple(range(width))]
+    Words are weighted by their place and summed by block; a mask is the sum of its two blocks.
+    """
+    n = max(len(hashes) - width + 1, 0)
+    sums = []
+    for block in BLOCKS if width == WINDOW else (range(width),):
+        total = np.full(n, np.uint64((block[0] + 1) * width * 1_000_003), dtype=np.uint64)
+        for p in block:
+            total += hashes[p : p + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * p + 1)) % 2**64 | 1)
+        sums.append(total)
+    return [_mix(a + b) for a, b in itertools.combinations(sums, 2)] if width == WINDOW else [_mix(sums[0])]
 
 
 def _bits(keys: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +78,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 width = min(WINDOW, len(hashes))
                 if width < MIN_ITEM_WORDS:
                     continue
-                keys = np.stack([masked_hashes(hashes, m, width) for m in _masks(width)], axis=1).astype(np.int64)
+                keys = np.stack(masked_hashes(hashes, width), axis=1).astype(np.int64)
                 for i, row in enumerate(keys):
                     rows.append((item, hashes[i : i + width].astype(np.int64).tolist(), row.tolist()))
             if rows:
@@ -94,7 +96,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 def key_filter(spark: SparkSession, windows: DataFrame, n_keys: int) -> np.ndarray:
     """A Bloom filter of the benchmark hashes: two bits a hash, its size bounded by ``MAX_FILTER_BITS``."""
     n_bits = 1 << 16
-    while n_bits < min(32 * n_keys, MAX_FILTER_BITS):
+    while n_bits < min(1024 * n_keys, MAX_FILTER_BITS):
         n_bits *= 2
     low = F.col("key").bitwiseAND(F.lit(n_bits - 1))
     high = F.expr("shiftrightunsigned(key, 32)").bitwiseAND(F.lit(n_bits - 1))
@@ -103,8 +105,8 @@ def key_filter(spark: SparkSession, windows: DataFrame, n_keys: int) -> np.ndarr
         F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("mask")
     )
     out = np.zeros(n_bits // 32, dtype=np.uint32)
-    rows = filled.toPandas()  # at most n_bits / 32 rows
-    out[rows["word"].to_numpy(dtype=np.int64)] = rows["mask"].to_numpy(dtype=np.int64).astype(np.uint32)
+    rows = filled.select(F.col("word").cast("long").alias("word"), "mask").toArrow()  # at most n_bits / 32 rows
+    out[rows["word"].to_numpy()] = rows["mask"].to_numpy().astype(np.uint32)
     return out
 
 
@@ -124,16 +126,19 @@ def document_hits(docs: DataFrame, bloom: np.ndarray, widths: list[int]) -> Data
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 rows = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    hashes = word_hashes(words_of(text), known)
-                    for width in widths:
-                        if len(hashes) < width:
-                            continue
-                        keys = [masked_hashes(hashes, m, width) for m in _masks(width)]
-                        hit = np.stack([there(a) & there(b) for a, b in (_bits(k, n_bits) for k in keys)])
-                        for i in np.flatnonzero(hit.any(axis=0)).tolist():
-                            met = [int(k[i].astype(np.int64)) for k, h in zip(keys, hit) if h[i]]
-                            rows.append((doc, hashes[i : i + width].astype(np.int64).tolist(), met))
+                split = [words_of(text) for text in part.column(1).to_pylist()]
+                hashes = word_hashes([w for words in split for w in words], known)
+                lengths = np.array([len(words) for words in split], dtype=np.int64)
+                owner = np.repeat(np.arange(len(split)), lengths)
+                left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(hashes))  # words to the text's end
+                ids = part.column(0).to_pylist()
+                for width in widths:
+                    keys = masked_hashes(hashes, width)
+                    inside = left[: len(keys[0])] >= width
+                    hit = np.stack([there(a) & there(b) for a, b in (_bits(k, n_bits) for k in keys)]) & inside
+                    for i in np.flatnonzero(hit.any(axis=0)).tolist():
+                        met = [int(k[i].astype(np.int64)) for k, h in zip(keys, hit) if h[i]]
+                        rows.append((ids[owner[i]], hashes[i : i + width].astype(np.int64).tolist(), met))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))],
