@@ -37,9 +37,10 @@ def age_in_years(birth: Column, as_of: date) -> Column:
     return F.floor(F.datediff(F.lit(as_of), birth) / F.lit(365.25)).cast("int")
 
 
-def implausible(day: Column, min_year: int, max_year: int) -> Column:
-    """True for a date outside the year range; false for null."""
-    outside = (F.year(day) < min_year) | (F.year(day) > max_year)
+def implausible(day: Column, min_year: int, max_year: int | None = None) -> Column:
+    """True for a date outside the year range (up to the current year unless told); false for null."""
+    last = F.year(F.current_date()) if max_year is None else F.lit(max_year)
+    outside = (F.year(day) < min_year) | (F.year(day) > last)
     return F.coalesce(outside, F.lit(False))
 
 

@@ -26,14 +26,26 @@ def bronze_rows(
     api_url: str,
     ingestion_date: str | date | Column,
     load_ts: datetime | Column | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Bronze projection: the nested resource, its JSON text, and lineage columns."""
+    """Bronze projection: the nested resource, its JSON text, and lineage columns.
+
+    Entries read as JSON text keep that text; ``schema`` then says which of its fields ``resource_data`` holds.
+    """
+    text = F.col("entry.resource")
+    if isinstance(entries.schema["entry"].dataType["resource"].dataType, T.StringType):
+        if schema is None:
+            raise ValueError("entries of JSON text need the schema of the resource")
+        entries = entries.withColumn("_data", F.from_json(text, schema))
+        data, kept = F.col("_data"), text
+    else:
+        data, kept = text, F.to_json(text)
     day = ingestion_date if isinstance(ingestion_date, Column) else F.lit(str(ingestion_date))
     loaded = F.current_timestamp() if load_ts is None else load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
     return entries.select(
-        F.col("entry.resource").alias("resource_data"),
+        data.alias("resource_data"),
         F.col("entry.fullUrl").alias("full_url"),
-        F.to_json("entry.resource").alias("resource_json"),
+        kept.alias("resource_json"),
         F.col("resource_type").alias("source_resource_type"),
         "batch_id",
         F.col("extraction_timestamp").try_cast("timestamp").alias("extraction_timestamp"),
@@ -42,7 +54,7 @@ def bronze_rows(
         F.lit(api_url).alias("api_url"),
         loaded.alias("load_timestamp"),
         day.cast("string").alias("ingestion_date"),
-        F.col("entry.resource.id").alias("resource_id"),
+        data["id"].alias("resource_id"),
     )
 
 
@@ -117,6 +129,14 @@ def schema_drift(existing: T.StructType, incoming: T.StructType) -> list[tuple[s
     return sorted(out)
 
 
+def observed_paths(rows: DataFrame, text: str = "resource_json") -> list[str]:
+    """Every path that occurs in a column of JSON objects, found in one aggregation."""
+    found = rows.agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
+        return []
+    return sorted(leaf_paths(T.StructType.fromDDL("r " + found.replace("OBJECT<", "STRUCT<")).fields[0].dataType))
+
+
 def _present(path: str) -> Column:
     """True where a row has a value at ``path``, looking into every array element."""
     head, *rest = path.split("[].")

@@ -129,14 +129,14 @@ def date_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
 
 
-def bad_date_counts(df: DataFrame, min_year: int = 1900, max_year: int = 2026) -> DataFrame:
+def bad_date_counts(df: DataFrame, min_year: int = 1900, max_year: int | None = None) -> DataFrame:
     """Implausible values per date column, all columns in one pass."""
     names = date_columns(df)
     counted = df.agg(*[F.count_if(implausible(F.col(c), min_year, max_year)).alias(c) for c in names])
     return counted.unpivot([], names, "column_name", "bad_row_count")
 
 
-def quality_metrics(flat: DataFrame, pk: str, min_year: int = 1900, max_year: int = 2026) -> DataFrame:
+def quality_metrics(flat: DataFrame, pk: str, min_year: int = 1900, max_year: int | None = None) -> DataFrame:
     """Key counts and per-column bad dates of keyed rows together, so a run scans the flat rows once.
 
     One row: total_rows, null_primary_key_count, and ``bad_<column>`` for each date column.
@@ -150,7 +150,7 @@ def quality_metrics(flat: DataFrame, pk: str, min_year: int = 1900, max_year: in
     )
 
 
-def clean(df: DataFrame, min_year: int = 1900, max_year: int = 2026) -> DataFrame:
+def clean(df: DataFrame, min_year: int = 1900, max_year: int | None = None) -> DataFrame:
     """Null implausible dates, trim text, upper-case status columns and gender, all in one projection."""
 
     def tidy(field: T.StructField) -> Column:
@@ -199,7 +199,7 @@ def _prepared(
     ingestion_date: str | list[str] | None,
     load_ts: datetime | None,
     min_year: int,
-    max_year: int,
+    max_year: int | None,
     structural: bool,
 ) -> DataFrame:
     """Keyed, cleaned and hashed rows before dedup."""
@@ -220,7 +220,7 @@ def to_silver(
     ingestion_date: str | None = None,
     load_ts: datetime | None = None,
     min_year: int = 1900,
-    max_year: int = 2026,
+    max_year: int | None = None,
     structural: bool = False,
 ) -> DataFrame:
     """The whole Silver transform as one plan with a single shuffle."""
@@ -236,7 +236,7 @@ def refresh_silver(
     *,
     load_ts: datetime | None = None,
     min_year: int = 1900,
-    max_year: int = 2026,
+    max_year: int | None = None,
     structural: bool = False,
 ) -> DataFrame:
     """Silver after one more day (or several), from the stored Silver and those days' Bronze partitions only.

@@ -15,6 +15,7 @@ from carestrata.sources.storage import stage
 
 AS_OF = date(2024, 6, 30)
 FIRST_LOAD, SECOND_LOAD = date(2024, 1, 1), date(2024, 1, 2)
+LAST_YEAR = 2026  # the bound the SQL for these layers states
 LOADED_AT = datetime(2024, 1, 2, 8, 0, tzinfo=timezone.utc)
 
 # Columns the stored copy is partitioned by.
@@ -89,7 +90,7 @@ class Lakehouse:
 
     def _silver(self, resource: str, ingestion_date: str | None = None) -> DataFrame:
         bronze = self.table(f"bronze_{resource}")
-        return silver.to_silver(bronze, resource, ingestion_date=ingestion_date, load_ts=LOADED_AT)
+        return silver.to_silver(bronze, resource, ingestion_date=ingestion_date, load_ts=LOADED_AT, max_year=LAST_YEAR)
 
     def _silver_patient(self) -> DataFrame:
         return self._silver("patient")

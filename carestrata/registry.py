@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from carestrata.operators import bronze, checks, scd2, silver
 from carestrata.plans import dashboard, periods
-from carestrata.plans.lakehouse import AS_OF, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
+from carestrata.plans.lakehouse import LAST_YEAR, AS_OF, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
 from carestrata.plans.run import RunConfig, run
 from carestrata.plans.star import DATE, ENCOUNTER, OBSERVATION, CONDITION, PATIENT, Star, evaluate
 from carestrata.sources import fixtures as fx
@@ -312,7 +312,7 @@ def silver_patient(lh: Lakehouse) -> DataFrame:
 def silver_patient_stepwise(lh: Lakehouse) -> DataFrame:
     """Silver of the first day refreshed with the second day's partition: the same as reading both at once."""
     stored, day = lh.table("silver_patient_first"), fx.BATCHES["B"][0]
-    return silver.refresh_silver(stored, lh.table("bronze_patient"), "patient", day, load_ts=LOADED_AT)
+    return silver.refresh_silver(stored, lh.table("bronze_patient"), "patient", day, load_ts=LOADED_AT, max_year=LAST_YEAR)
 
 
 @_query
@@ -364,7 +364,7 @@ def silver_quarantine_sink(lh: Lakehouse) -> DataFrame:
 def silver_bad_dates(lh: Lakehouse) -> DataFrame:
     def counts(resource: str) -> DataFrame:
         keyed, _ = silver.split_quarantine(_flat(lh, resource), silver.primary_key(resource))
-        return silver.bad_date_counts(keyed)
+        return silver.bad_date_counts(keyed, max_year=LAST_YEAR)
 
     return _per_resource(lh, counts)
 
@@ -737,13 +737,14 @@ def run_two_days(lh: Lakehouse) -> DataFrame:
             source_system=fx.SOURCE_SYSTEM,
             api_url=fx.API_URL,
             run_id=f"run{batch}",
+            max_year=LAST_YEAR,
             database=database,
         )
         run(spark, cfg)
     names = [f"{layer}_patient" for layer in ("bronze", "silver", "dim")]
     names += ["silver_observation", "gold_dim_patient", "gold_dim_condition", "fact_encounter", "fact_observation"]
     counted = checks.census({n: spark.table(f"{database}.{n}") for n in names})
-    log = spark.table(f"{database}.meta_pipeline_execution_log").select(
+    log = spark.table(f"{database}.meta_pipeline_execution_log").filter("activity_name = 'FULL_PIPELINE'").select(
         F.concat_ws(":", F.lit("log"), "run_id", "status").alias("tbl"), F.lit(1).cast("bigint").alias("cnt")
     )
     return counted.unionAll(log)

@@ -11,7 +11,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "carestrata") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "carestrata", options: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -22,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.hadoop.parquet.block.size", str(8 * 1024 * 1024))  # small files still split over all cores
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=options or {})
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import datetime
 from functools import reduce
@@ -21,7 +22,9 @@ RESOURCE_CONFIG_ROWS = [
 STATUSES = ("SUCCESS", "FAILED", "PARTIAL_SUCCESS")
 
 TARGET_BYTES = 128 * 1024 * 1024
-_NEXT, _VERSION = "__next", "__v"
+_NEXT, _PREVIOUS, _VERSION = "__next", "__prev", "__v"
+#: seconds a replaced version stays for readers still on it
+RETENTION_SECONDS = 24 * 3600
 
 
 # --- catalog --------------------------------------------------------------------------------------------------------
@@ -61,25 +64,50 @@ def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = Non
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.mode("errorifexists").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    previous = f"{database}.{table}{_PREVIOUS}"
+    if table_exists(spark, f"{database}.{table}"):
+        spark.sql(f"DROP TABLE IF EXISTS {previous}")
+        spark.sql(f"ALTER TABLE {database}.{table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {database}.{table}")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
 def finish_swap(spark: SparkSession, name: str) -> None:
-    """Complete a replacement that was interrupted between dropping the old name and renaming the new one."""
+    """Complete a replacement that was interrupted, so that the table exists if any version of it is complete.
+
+    A new version enters the catalog only when all its files are written, so it is taken first; without one the old
+    name comes back. Call it before a table is read or created.
+    """
     database, table = _split(spark, name)
-    if not table_exists(spark, f"{database}.{table}") and table_exists(spark, f"{database}.{table}{_NEXT}"):
-        spark.sql(f"ALTER TABLE {database}.{table}{_NEXT} RENAME TO {database}.{table}")
+    for suffix in (_NEXT, _PREVIOUS):
+        if not table_exists(spark, f"{database}.{table}") and table_exists(spark, f"{database}.{table}{suffix}"):
+            spark.sql(f"ALTER TABLE {database}.{table}{suffix} RENAME TO {database}.{table}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}{_PREVIOUS}")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return described["data_type"].rstrip("/").rsplit("/", 1)[1]
+
 
+def drop_old_versions(spark: SparkSession, name: str, retention_seconds: int = RETENTION_SECONDS) -> int:
+    """Delete version folders that no catalog name reads and that were written before the retention time.
 
-def drop_old_versions(spark: SparkSession, name: str) -> int:
-    """Delete the version folders of a table that it no longer reads; returns how many."""
+    Returns how many. Nothing is deleted while the table itself is missing.
+    """
     database, table = _split(spark, name)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{table}").filter("col_name = 'Location'").first()
+    if not table_exists(spark, f"{database}.{table}"):
+        return 0
+    names = [f"{database}.{table}{suffix}" for suffix in ("", _NEXT, _PREVIOUS)]
+    current = {_location(spark, n) for n in names if table_exists(spark, n)}
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_folder(spark, database)}/{table}{_VERSION}*")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    current = described["data_type"].rstrip("/").rsplit("/", 1)[1]
-    old = [s.getPath() for s in fs.globStatus(pattern) or [] if s.getPath().getName() != current]
+    oldest = (time.time() - retention_seconds) * 1000
+    old = [
+        status.getPath()
+        for status in fs.globStatus(pattern) or []
+        if status.getPath().getName() not in current and status.getModificationTime() <= oldest
+    ]
     for path in old:
         fs.delete(path, True)
     return len(old)
@@ -87,7 +115,7 @@ def drop_old_versions(spark: SparkSession, name: str) -> int:
 
 def create_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> None:
     """First load of a partitioned table."""
-    df.write.format("parquet").partitionBy(*partition_by).mode("overwrite").saveAsTable(name)
+    df.write.format("parquet").partitionBy(*partition_by).mode("errorifexists").saveAsTable(name)
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -137,9 +165,17 @@ def overwrite_table_partitions(df: DataFrame, name: str) -> None:
 
 
 def write_quarantine(rejected: DataFrame, root: str, resource: str, run_date: str) -> None:
-    """Rejected rows as JSON below ``<root>/<resource>/ingestion_date=<run date>``."""
-    dated = rejected.withColumn("ingestion_date", F.lit(run_date))
-    overwrite_partitions(dated, f"{root.rstrip('/')}/{resource.lower()}", ["ingestion_date"], "json")
+    """Rejected rows as JSON below ``<root>/<resource>/ingestion_date=<run date>/source_date=<day>/batch=<batch>``.
+
+    A rerun replaces only the source days and batches it rejects rows of, so days loaded on one run date stay apart.
+    ``source_date`` is the row's own ``ingestion_date`` and ``batch`` its ``batch_id``, where it has them.
+    """
+    own = {"source_date": "ingestion_date", "batch": "batch_id"}
+    none = F.lit(None).cast("string")
+    dated = rejected.withColumns(
+        {new: F.col(old).cast("string") if old in rejected.columns else none for new, old in own.items()}
+    ).withColumn("ingestion_date", F.lit(run_date))
+    overwrite_partitions(dated, f"{root.rstrip('/')}/{resource.lower()}", ["ingestion_date", *own], "json")
 
 
 # --- table detail and compaction ------------------------------------------------------------------------------------
@@ -214,6 +250,14 @@ def resource_config(spark: SparkSession, rows: list[Row] | None = None) -> DataF
     return spark.createDataFrame(rows or RESOURCE_CONFIG_ROWS, RESOURCE_CONFIG)
 
 
+def stored_resource_config(spark: SparkSession, name: str) -> DataFrame:
+    """The resource settings a run reads, stored with their first values if there are none yet."""
+    finish_swap(spark, name)
+    if not table_exists(spark, name):
+        replace_table(resource_config(spark), name)
+    return spark.table(name)
+
+
 def active_resources(config: DataFrame) -> DataFrame:
     """Active resources in load order."""
     return config.filter("active_flag").orderBy("load_order").select("resource_type", "load_order")

@@ -11,14 +11,11 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config(
-        "spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))
-    ).config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     from carestrata import local_session
 
-    session = local_session(4, shuffle_partitions=4, app="tests")
+    folders = {"spark.sql.warehouse.dir": "warehouse", "spark.checkpoint.dir": "shared"}
+    options = {key: str(tmp_path_factory.mktemp(name)) for key, name in folders.items()}
+    session = local_session(4, shuffle_partitions=4, app="tests", options=options)
     yield session
     session.stop()
 

@@ -49,7 +49,8 @@ def write_foreign(root, batch, pages, files=None, manifest=True):
         with open(f"{folder}/{names[-1]}", "w") as f:
             json.dump({"_extraction_metadata": meta, "fhir_bundle": bundle}, f, indent=2)
     if manifest:
-        body = {"batch_id": batch, "resource_type": "Patient", "page_count": len(pages), "total_records": 0}
+        body = {"batch_id": batch, "resource_type": "Patient", "page_count": len(pages)}
+        body["total_records"] = sum(len(entries or []) for entries in pages)
         body["files"] = names if files is None else files
         with open(f"{folder}/_manifest.json", "w") as f:
             f.write(json.dumps(body) if manifest is True else manifest)
