@@ -72,7 +72,7 @@ def _encounters_with_codes(star: Star, by_month: bool, slicers: Slicers | None,
     a code or an encounter with very many observations costs one row per map task.
     """
     of_encounter = (
-        star.observations.filter(F.col("observation_code_text").isin(codes))
+        star.observations.filter(F.lower("observation_code_text").isin([c.lower() for c in codes]))
         .groupBy("encounter_id")
         .agg(F.collect_set("observation_code_text").alias("_codes"))
     )

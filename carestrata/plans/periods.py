@@ -9,6 +9,8 @@ from carestrata.functions.aggregates import blank_if_zero, distinct_with_blank,
 from carestrata.plans.star import (
     DATE,
     ENCOUNTER,
+    MEASURES,
+    Label,
     Slicers,
     Star,
     internal,
@@ -20,8 +22,25 @@ from carestrata.plans.star import (
 _MONTH_INDEX = "_month_index"
 
 
+def _selected_days(star: Star, slicers: Slicers | None) -> DataFrame | None:
+    """Calendar days that the date slicers select, None if there are no date slicers."""
+    on_days = {k: v for k, v in (slicers or {}).items() if split_field(k)[0] == DATE}
+    if not on_days:
+        return None
+    days = star.days.select("*", *[F.col(split_field(k)[1]).alias(internal(k)) for k in on_days])
+    return days.filter(slice_condition(on_days)).select(*star.days.columns)
+
+
+def _output_period(out: DataFrame, star: Star, slicers: Slicers | None, keys: list[str]) -> DataFrame:
+    """Rows of ``out`` in the period the date slicers select; the comparison itself has seen the whole calendar."""
+    days = _selected_days(star, slicers)
+    if days is None:
+        return out
+    return out.join(F.broadcast(days.select(*keys).distinct()), keys, "left_semi")  # size fixed by the calendar's bounds
+
+
 def _sliced(star: Star, fields: list[str], slicers: Slicers | None) -> DataFrame:
-    """Encounters with ``fields``; slicers on the date table are left to the caller, as the comparison crosses them."""
+    """Encounters with ``fields``; date slicers wait until the comparison is made, as it crosses them."""
     kept = {k: v for k, v in (slicers or {}).items() if split_field(k)[0] != DATE}
     frame = star.frame(ENCOUNTER, [*fields, *kept])
     return frame.filter(slice_condition(kept)) if kept else frame
@@ -51,13 +70,14 @@ def encounters_to_date(
     )
     by_year = Window.partitionBy(*keys, "year").orderBy("full_date")
     by_month = Window.partitionBy(*keys, "year", "month").orderBy("full_date")
-    return filled.select(
+    out = filled.select(
         *[F.col(internal(g)).alias(split_field(g)[1]) for g in group_by or []],
         "full_date",
         blank_if_zero(F.col("_n")).alias("encounters"),
         blank_if_zero(F.sum("_n").over(by_month)).alias("encounters_mtd"),
         blank_if_zero(F.sum("_n").over(by_year)).alias("encounters_ytd"),
     )
+    return _output_period(out, star, slicers, ["full_date"])
 
 
 def _month_over_month(
@@ -87,7 +107,7 @@ def _month_over_month(
     )
     bounds = star.days.agg(F.max(F.col("year") * 12 + F.col("month") - 1)).scalar()
     change = divide(F.coalesce("_now", F.lit(0)) - F.col("_prior"), F.col("_prior"), F.lit(None).cast("double"))
-    return met.filter(F.col(_MONTH_INDEX) <= bounds).select(
+    out = met.filter(F.col(_MONTH_INDEX) <= bounds).select(
         *[F.col(internal(g)).alias(split_field(g)[1]) for g in group_by or []],
         F.floor(F.col(_MONTH_INDEX) / 12).cast("int").alias("year"),
         (F.col(_MONTH_INDEX) % 12 + 1).cast("int").alias("month"),
@@ -95,6 +115,7 @@ def _month_over_month(
         F.col("_prior").alias(f"{name}_prior_month"),
         change.alias(f"{name}_mom_pct"),
     )
+    return _output_period(out, star, slicers, ["year", "month"])
 
 
 def encounters_by_month(star: Star, group_by: list[str] | None = None, slicers: Slicers | None = None) -> DataFrame:
@@ -127,3 +148,49 @@ def context_labels(star: Star, slicers: Slicers | None = None) -> DataFrame:
         F.concat_ws(" | ", F.lit("Healthcare Analytics"), "_period.year", "shown_class").alias("page_title"),
         F.concat_ws(" — ", "_period.year", "_period.quarter").alias("selected_period"),
     )
+
+
+def with_periods(star: Star, base: DataFrame, names: list[str], group_by: list[str], slicers: Slicers) -> DataFrame:
+    """``base``, grouped by ``group_by``, with period comparisons and labels added.
+
+    A group's comparison is that of the last day (month) of the calendar that is in the group and in the date slicers.
+    Groups that only a comparison has become rows of their own.
+    """
+    on_days = [g for g in group_by if split_field(g)[0] == DATE]
+    others = [g for g in group_by if g not in on_days]
+    keys, day_keys = [split_field(g)[1] for g in group_by], [split_field(g)[1] for g in on_days]
+    other_keys = [split_field(g)[1] for g in others]
+    days = _selected_days(star, slicers)
+    days = star.days if days is None else days
+    out = base
+    for by_day in (True, False):
+        wanted = [n for n in names if getattr(MEASURES[n], "by_day", None) is by_day]
+        for subject in ("encounters", "patients"):
+            mine = [n for n in wanted if n.startswith(subject)]
+            if not mine:
+                continue
+            if by_day:
+                values, at = encounters_to_date(star, others, slicers), "full_date"
+            else:
+                build = encounters_by_month if subject == "encounters" else patients_by_month
+                values, at = build(star, others, slicers), "_at"
+                values = values.withColumn(at, F.col("year") * 12 + F.col("month")).drop("year", "month")
+            period = days.select("*", (F.col("year") * 12 + F.col("month")).alias("_at")) if not by_day else days
+            last = period.groupBy(*[F.col(k).alias(f"_{k}") for k in day_keys]).agg(F.max(at).alias("_last"))  # one row per date group of the calendar
+            columns = [MEASURES[n].column for n in mine]
+            shown = values.join(F.broadcast(last), F.col(at) == F.col("_last")).select(
+                *[F.col(k) if k in other_keys else F.col(f"_{k}").alias(k) for k in keys], *[F.col(c).alias(n) for c, n in zip(columns, mine)]
+            )
+            if not keys:
+                picked = shown.agg(*[F.max(n).alias(n) for n in mine]).select(F.struct(*mine)).scalar()
+                out = out.withColumn("_all", picked)
+                out = out.withColumns({n: F.col("_all")[n] for n in mine}).drop("_all")
+                continue
+            stacked = out.unionByName(shown, allowMissingColumns=True)
+            measures = [c for c in stacked.columns if c not in keys]
+            out = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
+    labels = [n for n in names if isinstance(MEASURES[n], Label)]
+    if labels:
+        out = out.withColumn("_labels", context_labels(star, slicers).select(F.struct(*labels)).scalar())
+        out = out.withColumns({n: F.col("_labels")[n] for n in labels}).drop("_labels")
+    return out

@@ -85,11 +85,14 @@ def reaches(fact: str, name: str) -> bool:
 
 
 def slice_condition(slicers: Slicers) -> Column:
-    """Conjunction of membership tests; a None among the values selects blanks."""
+    """Conjunction of membership tests; a None among the values selects blanks. Text compares without case."""
 
     def one(name: str, values: list) -> Column:
-        column = F.col(internal(name))
-        test = column.isin([v for v in values if v is not None])
+        column, given = F.col(internal(name)), [v for v in values if v is not None]
+        if given and all(isinstance(v, str) for v in given):
+            test = F.lower(column).isin([v.lower() for v in given])
+        else:
+            test = column.isin(given)
         return test | column.isNull() if None in values else test
 
     return reduce(lambda a, b: a & b, [one(n, v) for n, v in slicers.items()])
@@ -129,6 +132,19 @@ class Measure:
     relations: str = "start"
 
 
+@dataclass(frozen=True)
+class Period:
+    """A comparison of periods, kept in ``plans.periods``: its value is that of the context's last day or month."""
+
+    by_day: bool
+    column: str
+
+
+@dataclass(frozen=True)
+class Label:
+    """A text about the current slicers."""
+
+
 @dataclass(frozen=True)
 class Derived:
     """A formula over other measures."""
@@ -175,7 +191,7 @@ def _ratio(alternate: float) -> Callable[[Column, Column], Column]:
     return lambda a, b: divide(a, b, F.lit(alternate))
 
 
-MEASURES: dict[str, Measure | Derived] = {
+MEASURES: dict[str, Measure | Derived | Period | Label] = {
     "total_patients": Measure(
         ENCOUNTER, (f"{ENCOUNTER}.patient_sk",), lambda: distinct_with_blank(_f(ENCOUNTER, "patient_sk"))
     ),
@@ -213,6 +229,14 @@ MEASURES: dict[str, Measure | Derived] = {
     ),
     "conditions_resolved": _conditions_with("resolved"),
     "condition_resolution_rate": Derived(("conditions_resolved", "total_conditions"), _ratio(0.0)),
+    "encounters_mtd": Period(True, "encounters_mtd"),
+    "encounters_ytd": Period(True, "encounters_ytd"),
+    "encounters_prior_month": Period(False, "encounters_prior_month"),
+    "encounters_mom_pct": Period(False, "encounters_mom_pct"),
+    "patients_prior_month": Period(False, "patients_prior_month"),
+    "patients_mom_pct": Period(False, "patients_mom_pct"),
+    "page_title": Label(),
+    "selected_period": Label(),
 }
 
 
@@ -220,6 +244,8 @@ def _base_names(names: Iterable[str]) -> list[str]:
     out: dict[str, None] = {}
     for name in names:
         measure = MEASURES[name]
+        if isinstance(measure, (Period, Label)):
+            continue
         for base in measure.needs if isinstance(measure, Derived) else (name,):
             out[base] = None
     return list(out)
@@ -235,9 +261,20 @@ def evaluate(
 
     Measures that see the same fact and the same filter context share one aggregation. Contexts with all grouping
     fields are merged by a union and a second small aggregation, which also keeps null groups; a context that lacks
-    some fields repeats its value over them.
+    some fields repeats its value over them. Period comparisons look outside date slicers and date groups and show the
+    value of the last day or month inside; labels are the same in every row.
     """
     group_by, slicers = list(group_by or []), dict(slicers or {})
+    special = [n for n in measures if isinstance(MEASURES[n], (Period, Label))]
+    if special:
+        from carestrata.plans.periods import with_periods
+
+        plain = [n for n in measures if n not in special]
+        helper = [] if plain else ["total_encounters"]
+        base = evaluate(star, plain or helper, group_by, slicers)
+        return with_periods(star, base, special, group_by, slicers).select(
+            *[split_field(g)[1] for g in group_by], *measures
+        )
     contexts: dict[tuple, list[str]] = {}
     for name in _base_names(measures):
         m = MEASURES[name]

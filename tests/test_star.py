@@ -151,9 +151,33 @@ def test_prior_month_across_empty_months_and_years(star):
     assert people[(2024, 2)] == (2, 1) and people[(2024, 4)] == (1, None)
 
 
-def test_date_slicer_is_left_to_the_output_period(star):
-    sliced = periods.encounters_by_month(star, None, {f"{DATE}.year": [2025], CLASS: ["AMB"]})
-    assert {(r["year"], r["month"]) for r in sliced.collect()} == {(2024, 2), (2024, 3), (2025, 1), (2025, 2)}
+def test_date_slicer_filters_the_output_period(star):
+    year = {f"{DATE}.year": [2025], CLASS: ["AMB"]}
+    whole = {(r["year"], r["month"]): r for r in periods.encounters_by_month(star, None, {CLASS: ["AMB"]}).collect()}
+    sliced = {(r["year"], r["month"]): r for r in periods.encounters_by_month(star, None, year).collect()}
+    assert set(sliced) == {(2025, 1), (2025, 2)} and all(whole[k] == r for k, r in sliced.items())
+    days = periods.encounters_to_date(star, None, {f"{DATE}.year": [2024], f"{DATE}.month": [3]})
+    assert {(r["full_date"].year, r["full_date"].month) for r in days.collect()} == {(2024, 3)} and days.count() == 31
+
+
+def test_slicers_compare_without_case(star):
+    for low, up in (({CLASS: ["amb"]}, {CLASS: ["AMB"]}), ({f"{DATE}.month_name": ["march"]}, {f"{DATE}.month_name": ["March"]})):
+        assert table(evaluate(star, ["total_encounters"], None, low)) == table(evaluate(star, ["total_encounters"], None, up))
+
+
+def test_period_measures_by_name(star):
+    by = [f"{DATE}.year", f"{DATE}.month"]
+    names = ["total_encounters", "encounters_mtd", "encounters_ytd", "encounters_prior_month", "encounters_mom_pct"]
+    got = {(r["year"], r["month"]): r for r in evaluate(star, names, by).collect()}
+    months = {(r["year"], r["month"]): r for r in periods.encounters_by_month(star).collect()}
+    for key, row in months.items():
+        assert got[key]["encounters_prior_month"] == row["encounters_prior_month"]
+        assert got[key]["encounters_mom_pct"] == row["encounters_mom_pct"]
+        assert got[key]["encounters_mtd"] == got[key]["total_encounters"] == row["encounters"]
+    one = evaluate(star, ["encounters_ytd", "patients_mom_pct", "page_title"], None, {f"{DATE}.year": [2024], f"{DATE}.month": [4]})
+    last = periods.encounters_to_date(star, None, {f"{DATE}.date_key": [20240430]}).first()
+    assert one.first()["encounters_ytd"] == last["encounters_ytd"] and one.first()["page_title"].startswith("Healthcare")
+    assert one.first()["patients_mom_pct"] == periods.patients_by_month(star, None, {f"{DATE}.year": [2024], f"{DATE}.month": [4]}).first()["patients_mom_pct"]
 
 
 def test_labels(star):
