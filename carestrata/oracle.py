@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from carestrata.sources.fixtures import BATCHES
+
 _HASHED = {
     "patient": "patient_id gender birth_date family_name given_name city state postal_code country marital_status "
     "active_flag source_system",
@@ -348,6 +350,13 @@ def _bodies() -> dict[str, str]:
             for r, t in _BRONZE.items()
         ]
     )
+    q["quarantine_backfill"] = f"""
+        SELECT batch_id, CASE batch_id WHEN 'batchA' THEN '{BATCHES["A"][0]}' ELSE '{BATCHES["B"][0]}' END AS source_date,
+            count(*) AS rejected_rows
+        FROM patient_rows WHERE patient_id IS NULL GROUP BY batch_id"""
+    q["bronze_unknown_fields"] = """
+        SELECT patient_id AS resource_id, 'T-' || patient_id AS telecom, 'false' AS deceased
+        FROM patient_rows WHERE batch_id = 'batchA'"""
     q["silver_quarantine_sink"] = """
         SELECT patient_id, family_name, CASE WHEN k % 53 = 0 THEN DATE '1850-06-15' ELSE birth_date END AS birth_date,
             batch_id, '2024-06-30' AS ingestion_date
@@ -595,6 +604,17 @@ def _bodies() -> dict[str, str]:
                 AND year IN (2023, 2024)) AS avg_los_days,
             {total} FROM sliced"""
 
+    q["dash_sliced_case"] = q["dash_sliced"]
+    q["measures_period_sliced"] = """
+        SELECT CAST(2024 AS INTEGER) AS year, d.month, 'IMP' AS encounter_class, c.v AS total_encounters, c.v AS encounters_mtd,
+            p.v AS encounters_prior_month,
+            round(CASE WHEN p.v <> 0 THEN CAST(coalesce(c.v, 0) - p.v AS DOUBLE) / p.v END, 6) AS encounters_mom_pct
+        FROM (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS month) d
+        LEFT JOIN (SELECT year * 12 + month AS at, count(*) AS v FROM enc WHERE encounter_class = 'IMP' GROUP BY 1) c
+            ON c.at = 2024 * 12 + d.month
+        LEFT JOIN (SELECT year * 12 + month AS at, count(*) AS v FROM enc WHERE encounter_class = 'IMP' GROUP BY 1) p
+            ON p.at = 2024 * 12 + d.month - 1"""
+
     # the whole run
     q["run_two_days"] = _count_of(
         [

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from carestrata.operators import bronze, checks, scd2, silver
 from carestrata.plans import dashboard, periods
-from carestrata.plans.lakehouse import LAST_YEAR, AS_OF, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
+from carestrata.plans.lakehouse import AS_OF, LAST_YEAR, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
 from carestrata.plans.run import RunConfig, run
 from carestrata.plans.star import DATE, ENCOUNTER, OBSERVATION, CONDITION, PATIENT, Star, evaluate
+from carestrata.schemas import resource_schema
 from carestrata.sources import fixtures as fx
 from carestrata.sources import landing, tables
 from carestrata.sources.storage import scratch_path, stage
@@ -347,6 +348,39 @@ def silver_quarantine_metrics(lh: Lakehouse) -> DataFrame:
     return _per_resource(lh, lambda r: silver.quarantine_metrics(_flat(lh, r), silver.primary_key(r)))
 
 
+@_query
+def quarantine_backfill(lh: Lakehouse) -> DataFrame:
+    """Two source days rejected on one run date stay apart, and a rerun of one does not double it."""
+    root, rows = scratch_path(lh.spark, "quarantine"), lh.table("bronze_patient").drop("resource_data")
+    for batch in ("A", "B", "A"):
+        rejected = rows.filter((F.col("ingestion_date") == fx.BATCHES[batch][0]) & F.col("resource_id").isNull())
+        tables.write_quarantine(rejected, root, "patient", str(AS_OF))
+    back = lh.spark.read.schema("batch_id string, source_date string").json(f"{root}/patient")
+    return back.groupBy("batch_id", "source_date").agg(F.count("*").alias("rejected_rows"))
+
+
+@_query
+def bronze_unknown_fields(lh: Lakehouse) -> DataFrame:
+    """Landed fields that no schema declares are in the JSON text of Bronze."""
+    root, day = scratch_path(lh.spark, "raw"), fx.BATCHES["A"][0]
+    number = F.concat(F.lit("T-"), F.col("resource.id"))
+    more = F.col("resource").withField("telecom", F.array(F.struct(F.lit("phone").alias("system"), number.alias("value"))))
+    _land(lh, _patients_of(lh, "A").select(more.withField("deceasedBoolean", F.lit(False)).alias("resource")), root, "patient", "batchA")
+    pages = landing.read_pages(lh.spark, root, "patient", ingestion_date=day, raw=True)
+    rows = bronze.bronze_rows(
+        bronze.explode_pages(pages),
+        source_system=fx.SOURCE_SYSTEM,
+        api_url=fx.API_URL,
+        ingestion_date=day,
+        schema=resource_schema("patient"),
+    )
+    return rows.select(
+        "resource_id",
+        F.get_json_object("resource_json", "$.telecom[0].value").alias("telecom"),
+        F.get_json_object("resource_json", "$.deceasedBoolean").alias("deceased"),
+    )
+
+
 @_query
 def silver_quarantine_sink(lh: Lakehouse) -> DataFrame:
     """Rejected patients written twice for the same day and read back: the rerun does not double them."""
@@ -710,6 +744,21 @@ def dash_sliced_codes(lh: Lakehouse) -> DataFrame:
     return dashboard.encounters_by_month_code(star_of(lh), _PAGE_SLICERS)
 
 
+@_query
+def dash_sliced_case(lh: Lakehouse) -> DataFrame:
+    """The same slicers in another case select the same rows."""
+    lower = {k: [v.lower() if isinstance(v, str) else v for v in values] for k, values in _PAGE_SLICERS.items()}
+    return dashboard.status_table(star_of(lh), lower)
+
+
+@_query
+def measures_period_sliced(lh: Lakehouse) -> DataFrame:
+    """Period comparisons beside a plain measure, by class and month of one year; January sees the December before."""
+    names = ["total_encounters", "encounters_mtd", "encounters_prior_month", "encounters_mom_pct"]
+    by = [f"{DATE}.year", f"{DATE}.month", _CLASS]
+    return _rounded(evaluate(star_of(lh), names, by, {f"{DATE}.year": [2024], _CLASS: ["imp"]}), "encounters_mom_pct")
+
+
 # --- the whole run --------------------------------------------------------------------------------------------------
 
 
