@@ -159,3 +159,30 @@ def test_views_equal_the_dataframe_plans(spark, sf_dir, database):
         want = lake.derive(view.split(".")[1])
         assert spark.table(view).exceptAll(want).count() == 0
         assert want.exceptAll(spark.table(view)).count() == 0
+
+
+@pytest.mark.parametrize("stop", ["DROP TABLE IF EXISTS", "RENAME TO {}__prev", "RENAME TO {}", "never"])
+def test_an_interrupted_swap_loses_nothing(spark, database, monkeypatch, stop):
+    """Stop a replacement before each of its catalog steps; the next run finds a complete table, and a later swap works."""
+    name = f"{database}.t"
+    tables.replace_table(spark.range(3), name)
+    real, stop = spark.sql, stop.format(name)
+
+    def sql(text, *args, **kw):
+        if text.endswith(stop) or text == f"{stop} {name}__prev":
+            raise RuntimeError("stopped")
+        return real(text, *args, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(spark, "sql", sql, raising=False)
+        if stop == "never":
+            tables.replace_table(spark.range(5), name)
+        else:
+            with pytest.raises(RuntimeError):
+                tables.replace_table(spark.range(5), name)
+    tables.finish_swap(spark, name)
+    assert spark.table(name).count() in (3, 5)
+    tables.drop_old_versions(spark, name, 0)
+    assert spark.table(name).count() in (3, 5)
+    tables.replace_table(spark.range(7), name)
+    assert spark.table(name).count() == 7
