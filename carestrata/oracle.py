@@ -615,6 +615,14 @@ def _bodies() -> dict[str, str]:
         LEFT JOIN (SELECT year * 12 + month AS at, count(*) AS v FROM enc WHERE encounter_class = 'IMP' GROUP BY 1) p
             ON p.at = 2024 * 12 + d.month - 1"""
 
+    q["stored_views"] = _union(
+        [f"SELECT '{v}' AS tbl, count(*) AS cnt FROM ({q[v]})" for v in ("vw_condition_distribution", "vw_fact_encounter", "vw_fact_observation")]
+    )
+    q["catalog_tables"] = """
+        SELECT 'fact_encounter' AS table_name, count(*) AS row_count FROM fact_encounter
+        UNION ALL SELECT 'fact_observation', count(*) FROM fact_observation
+        UNION ALL SELECT 'fact_missing', NULL"""
+
     # the whole run
     q["run_two_days"] = _count_of(
         [

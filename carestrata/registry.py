@@ -12,6 +12,7 @@ from carestrata.operators import bronze, checks, scd2, silver
 from carestrata.plans import dashboard, periods
 from carestrata.plans.lakehouse import AS_OF, LAST_YEAR, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
 from carestrata.plans.run import RunConfig, run
+from carestrata.plans.views import create_views
 from carestrata.plans.star import DATE, ENCOUNTER, OBSERVATION, CONDITION, PATIENT, Star, evaluate
 from carestrata.schemas import resource_schema
 from carestrata.sources import fixtures as fx
@@ -256,6 +257,33 @@ def schema_evolution_merge(lh: Lakehouse) -> DataFrame:
     )
 
 
+def _stored_star(lh: Lakehouse) -> str:
+    """A database with the Gold tables and the Silver facts' dimensions, for queries on the catalog itself."""
+    database = "star_" + scratch_path(lh.spark, "db").rsplit("-", 1)[1][:12]
+    lh.spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(lh.spark, 'db')}'")
+    for name in ("gold_dim_patient", "gold_dim_condition", "dim_date", "fact_encounter", "fact_observation"):
+        tables.replace_table(lh.table(name), f"{database}.{name}")
+    return database
+
+
+@_query
+def catalog_tables(lh: Lakehouse) -> DataFrame:
+    """Catalog listing by prefix, with the rows behind each name and null for a table that does not exist."""
+    database = _stored_star(lh)
+    listed = [r["tableName"] for r in tables.list_tables(lh.spark, "fact_", database).collect()]
+    counts = tables.tolerant_counts(lh.spark, [f"{database}.{n}" for n in (*listed, "fact_missing")])
+    return lh.spark.createDataFrame([(n.split(".")[1], c) for n, c in counts.items()], "table_name string, row_count bigint")
+
+
+@_query
+def stored_views(lh: Lakehouse) -> DataFrame:
+    """Rows behind the views a run stores."""
+    database = _stored_star(lh)
+    create_views(lh.spark, database)
+    names = sorted(r["tableName"] for r in tables.list_tables(lh.spark, "vw_", database).collect())
+    return checks.census({n: lh.spark.table(f"{database}.{n}") for n in names})
+
+
 @_query
 def stream_bronze_result(lh: Lakehouse) -> DataFrame:
     """The event log ingested as a stream in two increments, the second overlapping the first."""

@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carestrata.operators.bronze import bronze_rows, explode_pages, rows_to_insert
-from carestrata.schemas import page_schema
+from carestrata.schemas import page_schema, raw_page_schema
 from carestrata.sources.landing import resource_root
 
 
-def page_stream(
-    spark: SparkSession, root: str, resource: str, schema: T.StructType | None = None, max_files: int = 1000
-) -> DataFrame:
-    """New page files below the resource's landing folder as they arrive."""
+def page_stream(spark: SparkSession, root: str, resource: str, max_files: int = 1000) -> DataFrame:
+    """New page files below the resource's landing folder as they arrive, each resource as its untouched JSON text."""
     kept = T.StructType(
-        (schema or page_schema(resource)).fields
+        raw_page_schema().fields
         + [T.StructField("ingestion_date", T.StringType()), T.StructField("batch_id", T.StringType())]
     )
     return (
@@ -48,28 +46,35 @@ def stream_bronze(
 
     A replayed micro-batch adds nothing, since the merge skips keys the target holds. With ``date_local_batches`` the
     merge reads only the target folders of the dates in the micro-batch, of which there are as many as days landed.
+    A page that cannot be read stops the stream before anything of its micro-batch is written; ``schema`` is that of a
+    page of the resource if it is not one of the declared ones.
     """
-    pages = page_stream(spark, root, resource, schema, max_files)
-    entries = explode_pages(pages, "ingestion_date")
-    rows = bronze_rows(
-        entries, source_system=source_system, api_url=api_url, ingestion_date=F.col("ingestion_date"), load_ts=load_ts
-    )
+    pages = page_stream(spark, root, resource, max_files)
+    entry = (schema or page_schema(resource))["fhir_bundle"].dataType["entry"].dataType.elementType
+    data_schema = entry["resource"].dataType
 
     def merge(batch: DataFrame, _epoch: int) -> None:
         session = batch.sparkSession
-        batch.persist()
-        try:
-            days = [r[0] for r in batch.select("ingestion_date").distinct().collect()]
-            fresh = batch
-            if _has_files(session, target):
-                held = session.read.schema(batch.schema).parquet(target)
-                fresh = rows_to_insert(held, batch, partition_dates=days if date_local_batches else None)
-            fresh.write.mode("append").partitionBy("ingestion_date").parquet(target)
-        finally:
-            batch.unpersist()
+        broken = batch.filter(F.col("_corrupt_record").isNotNull() | F.col("fhir_bundle").isNull()).select("file_name")
+        if first := broken.first():
+            raise ValueError(f"unreadable page {first['file_name']}")
+        rows = bronze_rows(
+            explode_pages(batch, "ingestion_date"),
+            source_system=source_system,
+            api_url=api_url,
+            ingestion_date=F.col("ingestion_date"),
+            load_ts=load_ts,
+            schema=data_schema,
+        )
+        fresh = rows
+        if _has_files(session, target):
+            days = [r[0] for r in batch.select("ingestion_date").distinct().collect()] if date_local_batches else None
+            held = session.read.schema(rows.schema).parquet(target)
+            fresh = rows_to_insert(held, rows, partition_dates=days)
+        fresh.write.mode("append").partitionBy("ingestion_date").parquet(target)
 
     query = (
-        rows.writeStream.foreachBatch(merge)
+        pages.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
