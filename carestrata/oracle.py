@@ -636,6 +636,16 @@ def _bodies() -> dict[str, str]:
             ("fact_observation", "fact_observation"),
         ]
     ) + "\nUNION ALL SELECT unnest(['log:runA:SUCCESS', 'log:runB:PARTIAL_SUCCESS']), 1"
+    first = "(SELECT count(DISTINCT patient_id) FROM patient_rows WHERE batch_id = 'batchA')"
+    q["run_log_and_events"] = f"""
+        SELECT 'runA:patient:bronze:SUCCESS' AS entry, count(*) AS cnt FROM patient_rows WHERE batch_id = 'batchA'
+        UNION ALL SELECT 'runA:patient:silver:SUCCESS', {first}
+        UNION ALL SELECT 'runA:patient:scd2:SUCCESS', {first}
+        UNION ALL SELECT 'runB:patient:bronze:SUCCESS', count(*) FROM patient_rows
+        UNION ALL SELECT 'runB:patient:silver:SUCCESS', count(*) FROM silver_patient
+        UNION ALL SELECT 'runB:patient:scd2:SUCCESS', count(*) FROM dim_patient
+        UNION ALL SELECT unnest(['runA:ALL:gold:FAILED', 'runB:ALL:gold:FAILED']), NULL
+        UNION ALL SELECT 'SCHEMA_DRIFT_NEW_COLUMNS:deceasedBoolean,telecom[].system', 1"""
     return q
 
 

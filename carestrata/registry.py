@@ -825,3 +825,42 @@ def run_two_days(lh: Lakehouse) -> DataFrame:
         F.concat_ws(":", F.lit("log"), "run_id", "status").alias("tbl"), F.lit(1).cast("bigint").alias("cnt")
     )
     return counted.unionAll(log)
+
+
+@_query
+def run_log_and_events(lh: Lakehouse) -> DataFrame:
+    """Two days of a run whose stored settings switch all but patients off: its log by stage, and drift found in the data.
+
+    The second day's patients carry fields that no schema declares and the first day did not have.
+    """
+    spark, root = lh.spark, scratch_path(lh.spark, "raw")
+    database = "log_" + root.rsplit("-", 1)[1][:12]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
+    settings = tables.resource_config(spark).withColumn("active_flag", F.col("resource_type") == "Patient")
+    tables.replace_table(settings, f"{database}.meta_resource_config")
+    for batch in ("A", "B"):
+        resource = F.col("resource")
+        if batch == "B":
+            phone = F.array(F.struct(F.lit("phone").alias("system")))
+            resource = resource.withField("deceasedBoolean", F.lit(False)).withField("telecom", phone)
+        _land(lh, _patients_of(lh, batch).select(resource.alias("resource")), root, "patient", f"batch{batch}", batch)
+        cfg = RunConfig(
+            raw_root=root,
+            quarantine_root=scratch_path(spark, "quarantine"),
+            as_of=date.fromisoformat(fx.BATCHES[batch][0]),
+            source_system=fx.SOURCE_SYSTEM,
+            api_url=fx.API_URL,
+            run_id=f"run{batch}",
+            max_year=LAST_YEAR,
+            database=database,
+        )
+        run(spark, cfg)
+    log = spark.table(f"{database}.meta_pipeline_execution_log").filter(
+        "activity_name <> 'FULL_PIPELINE' AND start_time <= end_time AND duration_seconds >= 0"
+    )
+    steps = log.select(
+        F.concat_ws(":", "run_id", "resource_type", "stage", "status").alias("entry"), F.col("records_processed").alias("cnt")
+    )
+    events = spark.table(f"{database}.meta_event_log").filter("message = 'SCHEMA_DRIFT_NEW_COLUMNS'")
+    drift = events.select(F.concat_ws(":", "message", F.col("context.new_columns")).alias("entry"), F.lit(1).cast("bigint").alias("cnt"))
+    return steps.unionAll(drift)
