@@ -29,8 +29,10 @@ GRAM = 32
 #: window starts looked at together, and window starts of a context
 CHUNK = 1 << 16
 LONGEST_RUN = 512
-#: a hash with more different contexts is not sorted in one task: its windows are compared by digest, wherever they are
+#: a hash with more different contexts is not sorted in one task: they are cut again by other hashes, ...
 MAX_CONTEXTS = 128
+#: ... and after so many cuts their windows are compared by digest, wherever they are
+LEVELS = 2
 #: bytes of contexts sorted in step
 BATCH_BYTES = 3 << 20
 
@@ -48,15 +50,15 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _window_keys(data: np.ndarray, length: int) -> np.ndarray:
-    """The smallest hash in each window of ``length`` bytes."""
+def _window_keys(data: np.ndarray, length: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all short strings, and the smallest in each window of ``length`` bytes; every level has other hashes."""
     up, down = _powers()
     n = len(data)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     h = (total[GRAM:] - total[:-GRAM]) * down[: n - GRAM + 1]
     h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h *= np.uint64(0xBF58476D1CE4E5B9 + 2 * level)
     h ^= h >> np.uint64(32)
     width, m = length - GRAM + 1, len(h)
     padded = np.concatenate((h, np.full((-m) % width, 2**64 - 1, dtype=np.uint64))).reshape(-1, width)
@@ -66,21 +68,38 @@ def _window_keys(data: np.ndarray, length: int) -> np.ndarray:
     return h, least
 
 
-def contexts(text: bytes, length: int = LENGTH):
-    """``(key, first, last, twice)`` of each run of window starts with one key; ``twice``: the key's string stands twice in it."""
+def contexts(text: bytes, length: int = LENGTH, level: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, first, last, twice)`` of each run of window starts with one key.
+
+    ``twice`` is true wherever the key's string may stand twice in the run, so that the run may repeat itself.
+    """
     width = length - GRAM + 1
+    parts: list[tuple[np.ndarray, ...]] = []
     for begin in range(0, len(text) - length + 1, CHUNK):
         data = np.frombuffer(text, dtype=np.uint8)[begin : begin + CHUNK + length - 1]
-        h, least = _window_keys(data, length)
+        h, least = _window_keys(data, length, level)
         cut = np.flatnonzero(least[1:] != least[:-1]) + 1
         first = np.concatenate((np.zeros(1, np.int64), cut))
         end = np.append(cut, len(least))
-        for a, b in zip(first.tolist(), end.tolist()):
-            key = least[a]
-            twice = int(np.count_nonzero(h[a : b + width - 1] == key)) > 1
-            signed = int(key.astype(np.int64))
-            for c in range(a, b, LONGEST_RUN):
-                yield signed, begin + c, begin + min(b, c + LONGEST_RUN) - 1, twice or b - a > LONGEST_RUN
+        # places that are the smallest of some window; equal ones of one run are neighbours among them
+        edged = np.concatenate((np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)))
+        padded = np.concatenate((edged, np.zeros((-len(edged)) % width, np.uint64))).reshape(-1, width)
+        to_right = np.maximum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
+        to_left = np.maximum.accumulate(padded, axis=1).ravel()
+        at = np.flatnonzero(h == np.maximum(to_right[: len(h)], to_left[width - 1 : width - 1 + len(h)]))
+        equal = np.concatenate((np.zeros(1, np.int64), np.cumsum(h[at[1:]] == h[at[:-1]])))
+        low, high = np.searchsorted(at, first), np.searchsorted(at, end + width - 1)
+        twice = (high - low >= 2) & (equal[np.maximum(high - 1, 0)] > equal[np.minimum(low, len(at) - 1)])
+        pieces = -(-(end - first) // LONGEST_RUN)
+        if pieces.max() > 1:
+            twice |= pieces > 1
+            starts = np.repeat(first, pieces) + LONGEST_RUN * _ranges(np.zeros(len(pieces), np.int64), pieces)
+            end = np.minimum(np.repeat(end, pieces), starts + LONGEST_RUN)
+            first, twice = starts, np.repeat(twice, pieces)
+        parts.append((least[first].astype(np.int64), begin + first, begin + end - 1, twice))
+    if not parts:
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, bool))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -253,11 +272,12 @@ def _spans(spans) -> list[dict[str, int]]:
 def _key_counts(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            keys: dict[int, int] = {}
+            met = []
             for text in batch.column(0):
-                for key, _, _, twice in contexts(text.as_py().encode("utf-8", "surrogatepass"), length):
-                    keys[key] = min(2, keys.get(key, 0) + 1 + twice)
-            yield pa.RecordBatch.from_arrays([pa.array(list(keys), pa.int64()), pa.array(list(keys.values()), pa.int64())], ["key", "n"])
+                key, _, _, twice = contexts(text.as_py().encode("utf-8", "surrogatepass"), length)
+                met += [key, key[twice]]  # a run that may repeat itself counts twice
+            keys, n = np.unique(np.concatenate(met) if met else np.zeros(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.minimum(n, 2), pa.int64())], ["key", "n"])
 
     return docs.select("text").mapInArrow(run, "key long, n long")
 
@@ -269,20 +289,23 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         bloom = shared.value
-        bits = len(bloom) * 32 - 1
+        bits = np.uint64(len(bloom) * 32 - 1)
 
-        def there(bit: int) -> bool:
-            return bool(int(bloom[bit >> 5]) >> (bit & 31) & 1)
+        def there(bit: np.ndarray) -> np.ndarray:
+            word = bloom[(bit >> np.uint64(5)).astype(np.int64)]
+            return (word >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
 
         for batch in batches:
             for begin in range(0, batch.num_rows, 128):
                 rows = []
                 for name, text in zip(*(batch.column(i)[begin : begin + 128].to_pylist() for i in (0, 1))):
                     data = text.encode("utf-8", "surrogatepass")
-                    for key, first, last, twice in contexts(data, length):
-                        if there(key & bits) and there((key & (2**64 - 1)) >> 32 & bits):
-                            context = data[first : last + length]
-                            rows.append((name, first, key, hashlib.blake2b(context, digest_size=16).digest(), context, twice))
+                    found = contexts(data, length)
+                    unsigned = found[0].astype(np.uint64)
+                    hit = there(unsigned & bits) & there((unsigned >> np.uint64(32)) & bits)
+                    for key, first, last, twice in zip(*(x[hit].tolist() for x in found)):
+                        context = data[first : last + length]
+                        rows.append((name, first, key, hashlib.blake2b(context, digest_size=16).digest(), context, twice))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
@@ -348,16 +371,31 @@ def _large_sets(sets: DataFrame, length: int) -> DataFrame:
     return hits.mapInArrow(spans, f"context_key binary, spans {_SPANS}")
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(text_key, spans)``: the byte spans of each text of ``texts (text_key, text)`` that repeated windows cover.
+def _cut_again(sets: DataFrame, length: int, level: int) -> DataFrame:
+    """The contexts of crowded hashes cut by other hashes; what many of them share becomes equal contexts."""
 
-    ``text_key`` must be equal for equal texts. The spans of a text are in no order and may overlap.
-    """
-    counts = _key_counts(texts, length).groupBy("key").agg(F.sum("n").alias("n"))
-    repeated = stage(counts.where("n > 1").select("key"), "repeat-keys")
-    found = stage(_candidates(texts, repeated, length), "repeat-contexts")
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                rows = []
+                for name, data, m in zip(*(batch.column(i)[begin : begin + 256].to_pylist() for i in range(3))):
+                    for key, first, last, twice in zip(*(x.tolist() for x in contexts(data, length, level))):
+                        part = data[first : last + length]
+                        rows.append((name, first, key, hashlib.blake2b(part, digest_size=16).digest(), part, twice, m))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    names = ["text_key", "first", "key", "context_key", "context", "twice", "m"]
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.int64()]
+    return sets.select("context_key", "context", "m").mapInArrow(
+        run, "text_key binary, first long, key long, context_key binary, context binary, twice boolean, m long"
+    )
+
+
+def _spans_of(found: DataFrame, length: int, level: int = 0) -> DataFrame:
+    """``(text_key, spans)`` from staged contexts ``(text_key, first, key, context_key, context, twice, m)``."""
     distinct = found.groupBy("key", "context_key").agg(
-        F.first("context").alias("context"), F.count("*").alias("m"), F.max("twice").alias("twice")
+        F.first("context").alias("context"), F.sum("m").alias("m"), F.max("twice").alias("twice")
     )
     distinct = stage(distinct, "repeat-distinct")
     sizes = distinct.groupBy("key").agg(F.count("*").alias("d"))
@@ -365,10 +403,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.length("context").cast("long").alias("b")))
     copied = sized.where("m > 1").select("context_key", whole.alias("spans"))
     small = sized.where((F.col("d") <= MAX_CONTEXTS) & ((F.col("d") > 1) | ((F.col("m") == 1) & F.col("twice"))))
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_sort = _sorted_sets(small.repartition(parts, "key").sortWithinPartitions("key"), length)
-    by_digest = _large_sets(sized.where(F.col("d") > MAX_CONTEXTS), length)
-    results = stage(copied.union(by_sort).union(by_digest), "repeat-spans").where(F.size("spans") > 0)
+    results = copied.union(by_sort)
+    large = sized.where(F.col("d") > MAX_CONTEXTS)
+    if not large.isEmpty():
+        if level < LEVELS:
+            again = stage(_cut_again(large, length, level + 1), "repeat-contexts")
+            results = results.union(_spans_of(again, length, level + 1))
+        else:
+            results = results.union(_large_sets(large, length))
+    results = stage(results, "repeat-spans").where(F.size("spans") > 0)
     merged_results = results.groupBy("context_key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
     placed = found.select("text_key", "first", "context_key").join(merged_results, "context_key")
     moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))
@@ -376,6 +421,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return each.groupBy("text_key").agg(F.collect_set("s").alias("spans"))
 
 
+def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``(text_key, spans)``: the byte spans of each text of ``texts (text_key, text)`` that repeated windows cover.
+
+    ``text_key`` must be equal for equal texts. The spans of a text are in no order and may overlap.
+    """
+    counts = _key_counts(texts, length).groupBy("key").agg(F.sum("n").alias("n"))
+    repeated = stage(counts.where("n > 1").select("key"), "repeat-keys")
+    found = stage(_candidates(texts, repeated, length).withColumn("m", F.lit(1).cast("long")), "repeat-contexts")
+    return _spans_of(found, length)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, spans)`` of every row of ``docs (doc_id, text, ...)``.
 
