@@ -224,3 +224,9 @@ def test_checks_find_planted_rows(spark, rows):
 
 def test_page_schema_accepts_a_struct():
     assert page_schema(T.StructType([T.StructField("id", T.StringType())])).fieldNames()[0] == "_extraction_metadata"
+
+
+def test_an_empty_extraction_leaves_a_manifest_without_files(spark, tmp_path):
+    land(spark, f"{tmp_path}/raw", 0)
+    manifest = landing.read_manifests(spark, f"{tmp_path}/raw", "patient").first()
+    assert (manifest["page_count"], manifest["total_records"], manifest["files"]) == (0, 0, [])
