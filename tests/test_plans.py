@@ -35,7 +35,6 @@ def test_silver_is_one_scan_and_one_shuffle(spark, sf_dir, resource):
 
 def test_nested_fields_are_pruned(spark, sf_dir):
     lake = open_lakehouse(spark, sf_dir)
-    text = lake.derive("silver_encounter").select("encounter_class").limit(1)
     text = plan(lake.table("bronze_encounter").select(F.col("resource_data.class.code")))
     assert "ReadSchema: struct<resource_data:struct<class:struct<code:string>>>" in text
 
