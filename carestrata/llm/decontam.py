@@ -24,6 +24,8 @@ MASKS = [tuple(a) + tuple(b) for a, b in itertools.combinations(BLOCKS, 2)]
 MIN_ITEM_WORDS = 5
 #: the filter that spares most document windows the join has at most so many bits; a fuller one only spares fewer
 MAX_FILTER_BITS = 1 << 27
+#: words a task remembers with their hashes before it starts anew
+REMEMBERED_WORDS = 300_000
 #: up to so many benchmark hashes are broadcast for the join
 BROADCAST_HASHES = 400_000
 
@@ -39,7 +41,7 @@ def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
 
     out = [known.get(w) for w in words]
     if None in out:
-        if len(known) > 500_000:
+        if len(known) > REMEMBERED_WORDS:
             known.clear()
         for i, w in enumerate(words):
             if out[i] is None:

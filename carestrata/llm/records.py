@@ -26,7 +26,7 @@ END_ID = 2
 #: text bytes a data shard aims at
 SHARD_BYTES = 8 << 20
 #: distinct words a worker remembers with their ids before it starts anew
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 800_000
 
 INDEX_ENTRY = "<qQQ"
 _HEAD = "<QI"

@@ -29,7 +29,7 @@ BATCH = 64
 SHOWN = 0.5
 THRESHOLD = 0.7
 #: words a task remembers with their scores before it starts anew
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 #: a longer run without white space is cut into pieces of this length
 LONGEST_WORD = 40
 
