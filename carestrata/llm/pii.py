@@ -105,9 +105,15 @@ def pair_keys(keys: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
 
-def contexts(text: str, start: int) -> list[int]:
+def cut_words(text: str, starts: list[int], begin: int, end: int) -> list[str]:
+    """Lower-cased words of ``text[begin:end]``, cut at white space and at the ``starts`` of values."""
+    cuts = [begin, *sorted({a for a in starts if begin < a < end}), end]
+    return [w for a, b in zip(cuts[:-1], cuts[1:]) for w in text[a:b].lower().split()]
+
+
+def contexts(text: str, start: int, starts: list[int]) -> list[int]:
     """Keys of the one and the two words before a value."""
-    keys = word_keys(text[max(0, start - CONTEXT) : start].lower().split()[-2:], {})
+    keys = word_keys(cut_words(text, starts, max(0, start - CONTEXT), start)[-2:], {})
     return np.concatenate((keys[-1:], pair_keys(keys) if len(keys) == 2 else keys[:0])).astype(np.int64).tolist()
 
 
@@ -150,10 +156,11 @@ def extract(docs: DataFrame) -> DataFrame:
                 text = text.as_py() or ""
                 base = base_spans(text)
                 found = [(s, True) for s in base] + [(s, False) for s in unseen(text, base)]
+                starts = [a for (_, a, _), _ in found]
                 all_base.append([dict(zip(("kind", "start", "end"), s)) for s in base])
                 all_values.append(
                     [
-                        {"kind": k, "start": a, "end": b, "value": text[a:b].lower(), "seed": seed, "patterns": contexts(text, a)}
+                        {"kind": k, "start": a, "end": b, "value": text[a:b].lower(), "seed": seed, "patterns": contexts(text, a, starts)}
                         for (k, a, b), seed in found
                     ]
                 )
@@ -167,6 +174,8 @@ def extract(docs: DataFrame) -> DataFrame:
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """``(pattern, n)``: how often the words of each of ``patterns (pattern)`` occur in all texts.
 
+    A word ends where a value starts, as in ``contexts``, so that a label glued to its value is counted.
+
     A filter of bounded size keeps most other words out of the shuffle; the join makes the count exact.
     """
     wanted = patterns.select(F.col("pattern").alias("key"))
@@ -187,7 +196,10 @@ def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         for batch in batches:
             met = []
             for text in batch.column(0):
-                keys = word_keys((text.as_py() or "").lower().split(), known)
+                text = text.as_py() or ""
+                base = base_spans(text)
+                starts = [a for _, a, _ in base + unseen(text, base)]
+                keys = word_keys(cut_words(text, starts, 0, len(text)), known)
                 met += [passing(keys), passing(pair_keys(keys))]
             pattern, n = np.unique(np.concatenate(met), return_counts=True)
             if len(pattern):
@@ -210,7 +222,8 @@ def confident_patterns(
     if supported.isEmpty():
         return none
     counts = stage(occurrences(docs, supported.select("pattern").distinct()), "pii-occurrences")
-    graph = edges.join(supported, ["pattern", "kind"]).join(counts.withColumnRenamed("n", "total"), "pattern")
+    graph = edges.join(supported, ["pattern", "kind"]).join(counts.withColumnRenamed("n", "total"), "pattern", "left")
+    graph = graph.withColumn("total", F.coalesce("total", F.lit(0)))
     graph = stage(graph, "pii-graph")
     value = ["pattern", "kind", "value", "n", "total", "seed"]
     belief = graph.select(*value, F.col("seed").cast("double").alias("score"))
