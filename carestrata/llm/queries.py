@@ -77,5 +77,20 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_subvector_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, seed=3)
+
+
+def op12_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.chat import chat_digests, conversation_log, format_conversations
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat_digests(format_conversations(conversation_log(rows.union(added))))
+
+
 def llm_queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

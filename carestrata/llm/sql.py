@@ -139,10 +139,64 @@ FROM failed
 """
 
 
+def _op11(k: int = 8, rounds: int = 10, dims: int = 64, seed: int = 3) -> str:
+    distance = "list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    steps = [f"""
+vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS cluster, x
+    FROM (SELECT x, sha256('{seed}:' || vec_id) AS h FROM vectors ORDER BY h NULLS LAST, x LIMIT {k})
+)"""]
+
+    def assigned(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+    SELECT r, vec_id, x, cluster, distance FROM (
+        SELECT v.r, v.vec_id, v.x, c.cluster, {distance} AS distance,
+               row_number() OVER (PARTITION BY v.r ORDER BY {distance}, c.cluster) AS place
+        FROM vectors v CROSS JOIN c{n} c
+    ) WHERE place = 1
+)"""
+
+    for n in range(rounds):
+        steps += [assigned(n), f"""
+s{n} AS (
+    SELECT cluster, i, CAST(sum(e) AS BIGINT) AS s, count(*) AS n
+    FROM (SELECT cluster, unnest(x) AS e, unnest(range(1, {dims + 1})) AS i FROM a{n}) GROUP BY cluster, i
+), m{n} AS (SELECT cluster, list((s - ((s % n + n) % n)) // n ORDER BY i) AS x FROM s{n} GROUP BY cluster),
+c{n + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN m{n} m USING (cluster))"""]
+    return f"""WITH {", ".join([*steps, assigned(rounds)])}
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+"""
+
+
+_ESCAPED = r"replace(replace(replace({}, '\', '\b'), '### ', '\h## '), '</turn>', '\l/turn>')"
+
+OP12 = rf"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length({_ESCAPED.format("text")}) + length(replace({_ESCAPED.format("role")}, ': ', '\c ')) + {len("### : </turn>") + 1}) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
 def llm_sql() -> dict[str, str]:
     return {
         "op1_distribution_divergence": _op1(),
         "op3_poisson_mix": OP3,
         "op8_arc_to_warc": OP8,
         "op10_spaced_seed_leaks": OP10,
+        "op11_subvector_centroids": _op11(),
+        "op12_event_sourced_chat": OP12,
     }
