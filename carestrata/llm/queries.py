@@ -92,5 +92,12 @@ def op12_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(format_conversations(conversation_log(rows.union(added))))
 
 
+def op13_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carestrata.llm.repair import damage, repair_conversations, repair_digests
+
+    rows, dropped = damage(table(spark, sf_dir, "conversations"))
+    return repair_digests(repair_conversations(rows, dropped))
+
+
 def llm_queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -14,4 +14,4 @@ def test_query(spark, sf_dir, name):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in llm_queries())
-    assert numbers == list(range(1, 11)) and set(llm_sql()) <= set(llm_queries())
+    assert numbers == list(range(1, 14)) and set(llm_sql()) <= set(llm_queries())
