@@ -205,7 +205,7 @@ def conversation_log(rows: DataFrame) -> DataFrame:
     first; rows of one turn are ordered by role and the text's MD5. Nulls in role and text are empty.
     """
     text, number = F.coalesce("text", F.lit("")), F.col("turn").cast("decimal(20,0)") + F.expr("9223372036854775808BD")
-    at = F.when(F.col("turn").isNull(), "").otherwise(F.lpad(number.cast("string"), 20, "0"))
+    at = F.when(F.col("turn").isNull(), "0").otherwise(F.concat(F.lit("1"), F.lpad(number.cast("string"), 20, "0")))
     copy = F.monotonically_increasing_id().cast("string")
     message = F.concat_ws("|", at, F.coalesce("role", F.lit("")), F.md5(text), copy)
     case = F.pmod(F.crc32(F.concat_ws(":", "conv_id", "turn")), F.lit(8))
