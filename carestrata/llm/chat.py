@@ -34,7 +34,7 @@ PART_CHARS = 1 << 20
 #: code points of a streamed piece in :func:`conversation_log`, and the most pieces a text is cut into
 DELTA_CHARS, MAX_DELTAS = 160, 64
 
-_PART = "conv_id long, message string, n_turns long, formatted string, mask array<struct<start:long,end:long>>"
+_PART = "conv_id long, message string, n_turns long, formatted string, mask array<struct<start:long,end:long>>, whole boolean"
 
 
 def escape(text: str, table: dict[str, str] = _ESCAPES) -> str:
@@ -112,13 +112,18 @@ def _batches(rows, schema: pa.Schema, weight, limit: int = 4 << 20):
 
 
 def _parts(messages, part_chars: int):
-    """Formatted rows of consecutive messages of one conversation."""
-    now = None
+    """Formatted rows of consecutive messages of one conversation.
+
+    A row is ``whole`` if it surely holds its conversation, which the first and last ones of a task may share with others.
+    """
+    now, border = None, True
     for conv_id, message, role, text in messages:
         piece, start, end = render(role, text)
         if now is None or now[0] != conv_id or now[4] + len(piece) > part_chars:
             if now is not None:
-                yield now[0], now[1], now[2], "".join(now[3]), now[5]
+                ended = now[0] != conv_id
+                yield now[0], now[1], now[2], "".join(now[3]), now[5], ended and not border
+                border = not ended
             now = [conv_id, message, 0, [], 0, []]
         if role == LEARNED_ROLE:
             now[5].append({"start": now[4] + start, "end": now[4] + end})
@@ -126,22 +131,22 @@ def _parts(messages, part_chars: int):
         now[3].append(piece)
         now[4] += len(piece)
     if now is not None:
-        yield now[0], now[1], now[2], "".join(now[3]), now[5]
+        yield now[0], now[1], now[2], "".join(now[3]), now[5], False
 
 
 def format_conversations(log: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
-    """``(conv_id, message, n_turns, formatted, mask)`` from ``log (conv_id, message, seq, kind, role, text)``, stored.
+    """``(conv_id, message, n_turns, formatted, mask, whole)`` from ``log (conv_id, message, seq, kind, role, text)``, stored.
 
     Messages stand in the order of their ``message`` strings (null first), events in that of ``seq`` (null first; equal
     ones by kind, role and text), so the rows of a conversation in the order of ``message`` make up its formatted text:
-    one row, or several for a conversation beyond ``part_chars`` or one that spans tasks. ``mask`` holds the spans, in
+    one ``whole`` row, or others where it is beyond ``part_chars`` or at the border of a task. ``mask`` holds the spans, in
     code points of the row, of the escaped texts to learn from: those with role ``assistant``. A conversation without a
     standing message has no row; a null ``conv_id`` is a conversation of its own; repeated rows of the log count as
     often as they stand; other columns are ignored; an empty log gives no rows.
     """
     schema = pa.schema(
         [("conv_id", pa.int64()), ("message", pa.string()), ("n_turns", pa.int64()), ("formatted", pa.string())]
-        + [("mask", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
+        + [("mask", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("whole", pa.bool_())]
     )
 
     def run(batches):
@@ -181,8 +186,8 @@ def _digests(parts):
 def chat_digests(formatted: DataFrame) -> DataFrame:
     """``(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)`` read back from formatted rows.
 
-    A digest runs over a conversation in order, so the rows of one conversation go through one task, as a stream that
-    holds a single row.
+    A digest runs over a conversation in order. Whole rows are read where they lie; the rows of another conversation go
+    through one task, as a stream that holds a single row.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
@@ -191,10 +196,11 @@ def chat_digests(formatted: DataFrame) -> DataFrame:
     def run(batches):
         yield from _batches(_digests(_rows(batches)), schema, lambda row: 0)
 
-    dealt = formatted.select("conv_id", "message", "formatted", "mask").repartition("conv_id")
-    ordered = dealt.sortWithinPartitions("conv_id", "message").drop("message")
+    read = ["conv_id", "formatted", "mask"]
+    dealt = formatted.where("NOT whole").select("message", *read).repartition("conv_id")
+    ordered = dealt.sortWithinPartitions("conv_id", "message").select(*read)
     told = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return ordered.mapInArrow(run, told)
+    return formatted.where("whole").select(*read).mapInArrow(run, told).union(ordered.mapInArrow(run, told))
 
 
 def conversation_log(rows: DataFrame) -> DataFrame:
