@@ -300,6 +300,11 @@ def _bodies() -> dict[str, str]:
         WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-17' AND DATE '2024-01-20' GROUP BY ALL"""
     q["bronze_merge_insert_new"] = "SELECT * FROM event_pulls"
     q["stream_bronze_result"] = "SELECT * FROM event_pulls"
+    q["stream_bronze_complete_batches"] = """
+        SELECT 'loaded ' || coalesce(patient_id, 'none') AS entry, batch_id, count(*) AS n FROM patient_rows GROUP BY ALL
+        UNION ALL SELECT 'COMPLETE true ' || count(*), batch_id, 1 FROM patient_rows GROUP BY batch_id
+        UNION ALL SELECT 'waiting after 1', 'batchA', 1
+        UNION ALL SELECT unnest(['waiting after 1', 'waiting after 2']), 'batchB', 1"""
     q["bronze_merge_pruned"] = """
         SELECT count(*) AS rows_to_insert FROM event_pulls s WHERE ingestion_date = '2024-01-20' AND NOT EXISTS (
             SELECT 1 FROM event_pulls t WHERE t.ingestion_date = '2024-01-20'

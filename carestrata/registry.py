@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ from carestrata.schemas import resource_schema
 from carestrata.sources import fixtures as fx
 from carestrata.sources import landing, tables
 from carestrata.sources.storage import scratch_path, stage
-from carestrata.streaming.bronze_stream import stream_bronze
+from carestrata.streaming.bronze_stream import read_reports, stream_bronze, stream_complete_batches
+from carestrata.streaming.complete_batches import waiting_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -47,7 +50,9 @@ def _patients_of(lh: Lakehouse, batch: str) -> DataFrame:
     return fx.patient_batches(lh.spark, lh.sf_dir).filter(F.col("batch") == batch).select("resource")
 
 
-def _land(lh: Lakehouse, resources: DataFrame, root: str, kind: str, batch_id: str, batch: str = "A") -> DataFrame:
+def _land(
+    lh: Lakehouse, resources: DataFrame, root: str, kind: str, batch_id: str, batch: str = "A", pages_per_file: int = _PAGES_PER_FILE
+) -> DataFrame:
     day, extracted = fx.BATCHES[batch]
     return landing.land_batch(
         resources,
@@ -57,7 +62,7 @@ def _land(lh: Lakehouse, resources: DataFrame, root: str, kind: str, batch_id: s
         ingestion_date=day,
         extraction_timestamp=extracted,
         api_url=fx.API_URL,
-        pages_per_file=_PAGES_PER_FILE,
+        pages_per_file=pages_per_file,
     )
 
 
@@ -329,6 +334,51 @@ def stream_bronze_result(lh: Lakehouse) -> DataFrame:
     return _event_view(spark.read.schema(pulls.schema).parquet(target))
 
 
+def _arrive(lh: Lakehouse, source: str, root: str, names: str) -> None:
+    """Move landed files whose path below ``source`` matches ``names`` to the same place below ``root``."""
+    jvm, conf = lh.spark.sparkContext._jvm, lh.spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(conf)
+    found = fs.listFiles(path(source), True)
+    while found.hasNext():
+        file = found.next().getPath()
+        name = file.toString().split(source, 1)[1]
+        if not name.rsplit("/", 1)[1].startswith(("_", ".")) and re.search(names, name):
+            fs.mkdirs(path(f"{root}{name}").getParent())
+            fs.rename(file, path(f"{root}{name}"))
+
+
+@_query
+def stream_bronze_complete_batches(lh: Lakehouse) -> DataFrame:
+    """Two patient batches streamed in three steps: pages of one and the manifest of the other, then the manifest that is
+    late, then the pages that are missing.
+
+    Bronze rows by the step that loaded them, what was reported, and what waited after each step.
+    """
+    spark, landed, root = lh.spark, scratch_path(lh.spark, "landed"), scratch_path(lh.spark, "raw")
+    where = {name: scratch_path(spark, name) for name in ("bronze", "state", "reports")}
+    for batch in ("A", "B"):
+        _land(lh, _patients_of(lh, batch), landed, "patient", f"batch{batch}", batch, 1)
+    arrivals = ["ingestion_date=2024-01-01/batch_id=batchA/|for_batch=batchB/", "for_batch=batchA/", "/"]
+    waited = []
+    for step, names in enumerate(arrivals, 1):
+        _arrive(lh, landed, root, names)
+        stream_complete_batches(
+            *(spark, root, "patient", where["bronze"], where["state"], where["reports"]),
+            source_system=fx.SOURCE_SYSTEM,
+            api_url=fx.API_URL,
+            load_ts=LOADED_AT,
+        )
+        waiting = waiting_batches(spark, where["state"]).select(F.lit(f"waiting after {step}").alias("entry"), "batch_id", F.lit(1).alias("n"))
+        waited.append(stage(waiting, "waiting"))
+    bronze_rows = spark.read.schema(lh.table("bronze_patient").schema).parquet(where["bronze"])
+    loaded = bronze_rows.groupBy(F.concat(F.lit("loaded "), F.coalesce("resource_id", F.lit("none"))).alias("entry"), "batch_id").agg(F.count("*").alias("n"))
+    reported = read_reports(spark, where["reports"]).select(
+        F.concat_ws(" ", "status", F.col("files_listed") == F.col("files_found"), "total_records").alias("entry"), "batch_id", F.lit(1).alias("n")
+    )
+    return reduce(DataFrame.unionAll, [loaded, reported, *waited]).select("entry", "batch_id", F.col("n").cast("bigint").alias("n"))
+
+
 # --- Silver ---------------------------------------------------------------------------------------------------------
 
 

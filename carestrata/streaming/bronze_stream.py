@@ -10,7 +10,11 @@ from pyspark.sql import types as T
 
 from carestrata.operators.bronze import bronze_rows, explode_pages, rows_to_insert
 from carestrata.schemas import page_schema, raw_page_schema
-from carestrata.sources.landing import resource_root
+from carestrata.sources.landing import page_integrity, read_pages, resource_root
+from carestrata.streaming.complete_batches import BATCH, COMPLETE, STATUS, batch_reports, use_state_store
+
+#: a batch that is complete by its names, but has unreadable pages or other records than its manifest says
+REFUSED = "REFUSED"
 
 
 def page_stream(spark: SparkSession, root: str, resource: str, max_files: int = 1000) -> DataFrame:
@@ -54,7 +58,6 @@ def stream_bronze(
     data_schema = entry["resource"].dataType
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        session = batch.sparkSession
         broken = batch.filter(F.col("_corrupt_record").isNotNull() | F.col("fhir_bundle").isNull()).select("file_name")
         if first := broken.first():
             raise ValueError(f"unreadable page {first['file_name']}")
@@ -66,12 +69,8 @@ def stream_bronze(
             load_ts=load_ts,
             schema=data_schema,
         )
-        fresh = rows
-        if _has_files(session, target):
-            days = [r[0] for r in batch.select("ingestion_date").distinct().collect()] if date_local_batches else None
-            held = session.read.schema(rows.schema).parquet(target)
-            fresh = rows_to_insert(held, rows, partition_dates=days)
-        fresh.write.mode("append").partitionBy("ingestion_date").parquet(target)
+        days = [r[0] for r in batch.select("ingestion_date").distinct().collect()] if date_local_batches else None
+        _insert_new(rows, target, days)
 
     query = (
         pages.writeStream.foreachBatch(merge)
@@ -83,6 +82,85 @@ def stream_bronze(
     return query
 
 
+def stream_complete_batches(
+    spark: SparkSession,
+    root: str,
+    resource: str,
+    target: str,
+    checkpoint: str,
+    reports: str,
+    *,
+    source_system: str,
+    api_url: str,
+    load_ts: datetime | None = None,
+    schema: T.StructType | None = None,
+    max_files: int = 1000,
+    multi_line: bool = False,
+):
+    """Load every batch that became complete since the last call, and stop; returns the finished query.
+
+    Names of pages and manifests stream through the state of :func:`batch_reports`, so a batch with missing or extra
+    files waits however often this runs, and its pages are read once, when it is complete: with the same checks and the
+    same insert-only merge as the batch load. ``reports`` holds a row for each batch reported by a micro-batch
+    (partition ``epoch``); a complete batch that cannot be read in full is REFUSED there and not loaded. A micro-batch
+    that runs again after a failure replaces its reports and inserts nothing twice.
+    """
+    use_state_store(spark)
+    body = (schema or page_schema(resource))["fhir_bundle"].dataType["entry"].dataType.elementType["resource"].dataType
+    kept = T.StructType.fromDDL(STATUS)
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        session, path = batch.sparkSession, f"{reports}/epoch={epoch}"
+        # written first, since the state behind the stream must be read once
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/of=names")
+        told = session.read.schema(kept).parquet(f"{path}/of=names")
+        complete = told.filter(F.col("status") == COMPLETE)
+        days = [r[0] for r in complete.select("ingestion_date").distinct().collect()]
+        if not days:
+            return
+        pages = read_pages(session, root, resource, ingestion_date=days, batches=complete, multi_line=multi_line, raw=True)
+        whole = page_integrity(pages, complete).select(*BATCH, "is_whole")
+        refused = complete.join(whole.filter("NOT is_whole"), BATCH, "left_semi").withColumn("status", F.lit(REFUSED))
+        refused.coalesce(1).write.mode("overwrite").parquet(f"{path}/of=pages")
+        out = session.read.schema(kept).parquet(f"{path}/of=pages")
+        loaded = complete.join(out, BATCH, "left_anti")
+        if loaded.isEmpty():
+            return
+        pages = read_pages(session, root, resource, ingestion_date=days, batches=loaded, multi_line=multi_line, raw=True)
+        rows = bronze_rows(
+            explode_pages(pages, "ingestion_date"),
+            source_system=source_system,
+            api_url=api_url,
+            ingestion_date=F.col("ingestion_date"),
+            load_ts=load_ts,
+            schema=body,
+        )
+        _insert_new(rows, target, days)
+
+    query = (
+        batch_reports(spark, root, resource, max_files)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def read_reports(spark: SparkSession, reports: str) -> DataFrame:
+    """What :func:`stream_complete_batches` reported, with the micro-batch (``epoch``) that did."""
+    return spark.read.schema(f"{STATUS}, epoch bigint, of string").parquet(reports).drop("of")
+
+
+def _insert_new(rows: DataFrame, target: str, days: list[str] | None) -> None:
+    """Append the rows whose key the target lacks; ``days`` prunes what is read of it."""
+    session = rows.sparkSession
+    if _has_files(session, target):
+        rows = rows_to_insert(session.read.schema(rows.schema).parquet(target), rows, partition_dates=days)
+    rows.write.mode("append").partitionBy("ingestion_date").parquet(target)
+
+
 def _has_files(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
