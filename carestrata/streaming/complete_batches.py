@@ -21,8 +21,8 @@ from carestrata.sources.landing import manifest_root, resource_root
 
 _PLACE = r"ingestion_date=([^/]+)/batch_id=([^/]+)/([^/]+)$"
 BATCH = ["ingestion_date", "batch_id"]
-#: kind is LISTED or FOUND; ``told_at`` orders the manifests of one batch
-ARRIVAL = "ingestion_date string, batch_id string, kind string, file string, told_at timestamp, total_records bigint"
+# an arrival is (ingestion_date, batch_id, kind, file, told_at, total_records): kind is LISTED or FOUND, and told_at,
+# microseconds, orders the manifests of one batch
 STATUS = (
     "ingestion_date string, batch_id string, status string, files_listed bigint, files_found bigint, "
     "files_matched bigint, total_records bigint"
@@ -31,8 +31,7 @@ STATUS = (
 _NAME = T.StructType([T.StructField("file", T.StringType())])
 _MARK = T.StructType([T.StructField("held", T.BooleanType())])
 _COUNTS = T.StructType(
-    [T.StructField("told_at", T.TimestampType())]
-    + [T.StructField(n, T.LongType()) for n in ("total_records", "n_listed", "n_found", "n_matched")]
+    [T.StructField(n, T.LongType()) for n in ("told_at", "total_records", "n_listed", "n_found", "n_matched")]
     + [T.StructField("complete", T.BooleanType()), T.StructField("since", T.TimestampType())]
 )
 LISTED, FOUND = "listed", "found"
@@ -56,7 +55,7 @@ def arrived_pages(spark: SparkSession, root: str, resource: str, max_files: int
         part(2).alias("batch_id"),
         F.lit(FOUND).alias("kind"),
         part(3).alias("file"),
-        F.col("modificationTime").alias("told_at"),
+        F.unix_micros("modificationTime").alias("told_at"),
         F.lit(None).cast("bigint").alias("total_records"),
     ).filter(F.col("batch_id") != "")
 
@@ -73,7 +72,7 @@ def arrived_manifests(spark: SparkSession, root: str, resource: str, max_files:
         F.col("for_batch").alias("batch_id"),
         F.lit(LISTED).alias("kind"),
         F.explode_outer(F.array_distinct("files")).alias("file"),
-        F.col("_metadata.file_modification_time").alias("told_at"),
+        F.unix_micros("_metadata.file_modification_time").alias("told_at"),
         "total_records",
     )
 
