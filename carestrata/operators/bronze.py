@@ -129,9 +129,18 @@ def schema_drift(existing: T.StructType, incoming: T.StructType) -> list[tuple[s
     return sorted(out)
 
 
+def observed_schema(text: str | Column) -> Column:
+    """An aggregate: the common variant schema of a column of JSON objects."""
+    return F.schema_of_variant_agg(F.try_parse_json(text))
+
+
 def observed_paths(rows: DataFrame, text: str = "resource_json") -> list[str]:
     """Every path that occurs in a column of JSON objects, found in one aggregation."""
-    found = rows.agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("s")).first()["s"]
+    return schema_paths(rows.agg(observed_schema(text).alias("s")).first()["s"])
+
+
+def schema_paths(found: str | None) -> list[str]:
+    """The paths of an :func:`observed_schema`."""
     if not found or not found.startswith("OBJECT<"):
         return []
     return sorted(leaf_paths(T.StructType.fromDDL("r " + found.replace("OBJECT<", "STRUCT<")).fields[0].dataType))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,13 +141,17 @@ def quality_metrics(flat: DataFrame, pk: str, min_year: int = 1900, max_year: in
 
     One row: total_rows, null_primary_key_count, and ``bad_<column>`` for each date column.
     """
+    return flat.agg(*_quality_counts(flat, pk, min_year, max_year))
+
+
+def _quality_counts(flat: DataFrame, pk: str, min_year: int, max_year: int | None) -> list[Column]:
     keyed = F.col(pk).isNotNull()
     bad = {c: F.count_if(keyed & implausible(F.col(c), min_year, max_year)) for c in date_columns(flat)}
-    return flat.agg(
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(~keyed).alias("null_primary_key_count"),
         *[count.alias(f"bad_{c}") for c, count in bad.items()],
-    )
+    ]
 
 
 def clean(df: DataFrame, min_year: int = 1900, max_year: int | None = None) -> DataFrame:
@@ -193,17 +197,25 @@ def newest(df: DataFrame, pk: str) -> DataFrame:
     return dedup_latest(df, pk, order)
 
 
-def _prepared(
+def prepared(
     bronze: DataFrame,
     resource: str,
-    ingestion_date: str | list[str] | None,
-    load_ts: datetime | None,
-    min_year: int,
-    max_year: int | None,
-    structural: bool,
+    ingestion_date: str | list[str] | None = None,
+    load_ts: datetime | None = None,
+    min_year: int = 1900,
+    max_year: int | None = None,
+    structural: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Keyed, cleaned and hashed rows before dedup."""
-    keyed, _ = split_quarantine(flatten(bronze, resource, ingestion_date), primary_key(resource))
+    """Keyed, cleaned and hashed rows before dedup.
+
+    ``observation`` receives what :func:`quality_metrics` counts while the rows are written, so that no pass over Bronze
+    is needed for it.
+    """
+    flat, pk = flatten(bronze, resource, ingestion_date), primary_key(resource)
+    if observation is not None:
+        flat = flat.observe(observation, *_quality_counts(flat, pk, min_year, max_year))
+    keyed, _ = split_quarantine(flat, pk)
     hashed = with_record_hash(clean(keyed, min_year, max_year), structural)
     loaded = F.current_timestamp() if load_ts is None else F.lit(load_ts)
     return hashed.select(
@@ -222,9 +234,10 @@ def to_silver(
     min_year: int = 1900,
     max_year: int | None = None,
     structural: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """The whole Silver transform as one plan with a single shuffle."""
-    rows = _prepared(bronze, resource, ingestion_date, load_ts, min_year, max_year, structural)
+    rows = prepared(bronze, resource, ingestion_date, load_ts, min_year, max_year, structural, observation)
     return newest(rows, primary_key(resource))
 
 
@@ -244,5 +257,5 @@ def refresh_silver(
     Newest-wins can be taken in steps, so this equals the transform over all of Bronze as long as Bronze only grows
     and the rules stay the same; the cost follows the number of ids and not the length of the history.
     """
-    rows = _prepared(bronze, resource, ingestion_date, load_ts, min_year, max_year, structural)
+    rows = prepared(bronze, resource, ingestion_date, load_ts, min_year, max_year, structural)
     return newest(existing.unionByName(rows), primary_key(resource))

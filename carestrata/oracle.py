@@ -305,6 +305,10 @@ def _bodies() -> dict[str, str]:
         UNION ALL SELECT 'COMPLETE true ' || count(*), batch_id, 1 FROM patient_rows GROUP BY batch_id
         UNION ALL SELECT 'waiting after 1', 'batchA', 1
         UNION ALL SELECT unnest(['waiting after 1', 'waiting after 2']), 'batchB', 1"""
+    q["silver_patient_bucketed"] = _silver("patient")
+    q["fact_encounter_refreshed"] = """
+        SELECT *, NOT coalesce(year(period_start) = 2021 AND right(encounter_id, 1) IN ('3', '4'), false) AS from_first_load
+        FROM fact_encounter"""
     q["bronze_merge_pruned"] = """
         SELECT count(*) AS rows_to_insert FROM event_pulls s WHERE ingestion_date = '2024-01-20' AND NOT EXISTS (
             SELECT 1 FROM event_pulls t WHERE t.ingestion_date = '2024-01-20'

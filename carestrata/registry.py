@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestrata.operators import bronze, checks, scd2, silver
-from carestrata.plans import dashboard, periods
+from carestrata.operators import bronze, checks, gold, scd2, silver
+from carestrata.plans import dashboard, periods, refresh
 from carestrata.plans.lakehouse import AS_OF, LAST_YEAR, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
 from carestrata.plans.run import RunConfig, run
 from carestrata.plans.views import create_views
@@ -394,6 +394,52 @@ def silver_patient_stepwise(lh: Lakehouse) -> DataFrame:
     return silver.refresh_silver(stored, lh.table("bronze_patient"), "patient", day, load_ts=LOADED_AT, max_year=LAST_YEAR)
 
 
+def _database(lh: Lakehouse, prefix: str) -> str:
+    name = f"{prefix}_" + scratch_path(lh.spark, "db").rsplit("-", 1)[1][:12]
+    lh.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(lh.spark, 'db')}'")
+    return name
+
+
+@_query
+def silver_patient_bucketed(lh: Lakehouse) -> DataFrame:
+    """Silver of the first day in key buckets, then the second day taken into the buckets it touches."""
+    spark, name, day = lh.spark, f"{_database(lh, 'silver')}.silver_patient", fx.BATCHES["B"][0]
+    refresh.store_silver(lh.table("silver_patient_first"), name, "patient_id", 8)
+    delta = stage(silver.prepared(lh.table("bronze_patient"), "patient", day, LOADED_AT, max_year=LAST_YEAR), "delta")
+    refresh.merge_buckets(spark, name, "patient_id", delta, refresh.touched_buckets(delta, "patient_id", 8))
+    return refresh.read_silver(spark, name)
+
+
+@_query
+def fact_encounter_refreshed(lh: Lakehouse) -> DataFrame:
+    """The encounter fact of a Silver table that lacks some encounters of 2021 and has others on a wrong day, refreshed by
+    the months that taking the right rows in changes."""
+    spark, database = lh.spark, _database(lh, "fact")
+    name, fact = f"{database}.silver_encounter", f"{database}.fact_encounter"
+    rows, people = lh.table("silver_encounter"), lh.table("gold_dim_patient")
+    digit = F.when(F.year("period_start") == 2021, F.substring("encounter_id", -1, 1))
+    wrong = rows.withColumns(
+        {
+            "period_start": F.when(digit == "4", F.date_add("period_start", 40)).otherwise(F.col("period_start")),
+            "record_hash": F.when(digit == "4", F.lit("before")).otherwise(F.col("record_hash")),
+            "extraction_timestamp": F.col("extraction_timestamp") - F.expr("INTERVAL 1 DAY"),
+        }
+    )
+    refresh.store_silver(wrong.filter(F.coalesce(digit, F.lit("")) != "3"), name, "encounter_id", 8)
+    refresh.store_fact(gold.fact_encounter(refresh.read_silver(spark, name), people), fact, "start_date_key", "encounter_id")
+    delta = stage(rows.filter(digit.isin("3", "4")), "delta")
+    touched = refresh.touched_buckets(delta, "encounter_id", 8)
+    months = refresh.changed_months(spark, name, "encounter_id", delta, "period_start", touched)
+    refresh.merge_buckets(spark, name, "encounter_id", delta, touched)
+    merged = refresh.read_silver(spark, name)
+    if months:
+        refresh.refresh_fact(gold.fact_encounter(merged.filter(refresh.in_months("period_start", months)), people), merged, fact, months)
+    old = F.expr("extraction_timestamp < TIMESTAMP '2024-01-01 06:00:00'")
+    expected_old = merged.filter(old).select("encounter_id")  # rows the delta did not bring
+    kept = refresh.read_fact(spark, fact)
+    return kept.join(expected_old.withColumn("from_first_load", F.lit(True)), "encounter_id", "left").fillna({"from_first_load": False})
+
+
 @_query
 def silver_encounter(lh: Lakehouse) -> DataFrame:
     return lh.derive("silver_encounter")

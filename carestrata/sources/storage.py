@@ -44,3 +44,12 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return read_table(df.sparkSession, path, df.schema).select(*df.columns)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a frame that :func:`stage` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/carestrata/" in folder:
+            path(folder).getFileSystem(conf).delete(path(folder), True)
