@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,19 @@ def is_partitioned_by(spark: SparkSession, table: str, expected: list[str]) -> b
     return partition_columns(spark, table) == expected
 
 
+def partition_layout(spark: SparkSession, expected: dict[str, list[str]]) -> DataFrame:
+    """(tbl, partition_columns, as_expected, partitions) of catalog tables: what they are laid out by, and by how many."""
+    rows = []
+    for name, columns in expected.items():
+        found = partition_columns(spark, name)
+        layout = F.concat_ws(",", *map(F.lit, found)) if found else F.lit("")
+        count = F.count_distinct(*found) if found else F.lit(0).cast("bigint")
+        one = spark.table(name).agg(count.alias("partitions"))
+        facts = [F.lit(name.rsplit(".", 1)[-1]).alias("tbl"), layout.alias("partition_columns"), F.lit(found == columns).alias("as_expected")]
+        rows.append(one.select(*facts, "partitions"))
+    return reduce(DataFrame.unionAll, rows)
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, where: str | None = None) -> DataFrame:
     """Child rows without a parent.
 

@@ -347,6 +347,13 @@ def _bodies() -> dict[str, str]:
         SELECT patient_id, 'batchC', 'D-' || right(patient_id, 1), NULL, CAST(CASE WHEN k % 41 = 0 THEN 0 ELSE 1 END
             AS INTEGER) FROM {_DRIFT_ROWS}"""
 
+    q["schema_evolution_stored"] = f"SELECT *, batch_id = 'batchA' AS in_old_file FROM ({q['schema_evolution_merge']})"
+    q["check_partition_columns"] = """
+        SELECT 'bronze_patient' AS tbl, 'ingestion_date' AS partition_columns, true AS as_expected,
+            count(DISTINCT ingestion_date) AS partitions FROM patient_rows
+        UNION ALL SELECT 'bronze_encounter', 'ingestion_date', true, count(DISTINCT ingestion_date) FROM silver_encounter
+        UNION ALL SELECT 'silver_condition', '', false, 0"""
+
     # Silver
     for resource in _BRONZE:
         q[f"silver_{resource}"] = _silver(resource)
@@ -600,6 +607,23 @@ def _bodies() -> dict[str, str]:
             for c in ("state", "gender", "encounter_class", "status")
         ]
     )
+    rules = {
+        "gender": "gender IN ('MALE', 'FEMALE')", "encounter_class": "encounter_class IN ('IMP', 'EMER')",
+        "state": "true", "status": "true",
+    }
+    q["dash_slicer_lists_sliced"] = _union(
+        [
+            f"SELECT '{c}' AS slicer, {c} AS value, {total} FROM enc WHERE year IN (2023, 2024) AND "
+            + " AND ".join(rule for other, rule in rules.items() if other != c)
+            + f" GROUP BY {c}"
+            for c in rules
+        ]
+    )
+    q["dash_date_hierarchy_sliced"] = f"""
+        SELECT year, quarter, month_name, d.full_date, total_encounters FROM dim_date d
+        LEFT JOIN (SELECT start_date_key, count(*) AS total_encounters FROM enc
+                   WHERE {rules["gender"]} AND {rules["encounter_class"]} GROUP BY 1) f
+            ON f.start_date_key = d.date_key"""
     q["dash_date_hierarchy"] = """
         SELECT year, quarter, month_name, d.full_date, total_encounters FROM dim_date d
         LEFT JOIN (SELECT start_date_key, count(*) AS total_encounters FROM fact_encounter GROUP BY 1) f
@@ -655,6 +679,10 @@ def _bodies() -> dict[str, str]:
         UNION ALL SELECT 'runB:patient:scd2:SUCCESS', count(*) FROM dim_patient
         UNION ALL SELECT unnest(['runA:ALL:gold:FAILED', 'runB:ALL:gold:FAILED']), NULL
         UNION ALL SELECT 'SCHEMA_DRIFT_NEW_COLUMNS:deceasedBoolean,telecom[].system', 1"""
+    q["lifecycle_events"] = """
+        SELECT 'INFO:TABLE_CREATED:patient:12' AS entry, 1 AS cnt
+        UNION ALL SELECT 'ERROR:SCHEMA_DRIFT_MERGE_FAILED:patient:full_url is int in the table and string in the batch', 1
+        UNION ALL SELECT 'bronze_patient', count(*) FROM patient_rows WHERE batch = 'A'"""
     return q
 
 

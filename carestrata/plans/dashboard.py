@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestrata.plans.star import DATE, ENCOUNTER, PATIENT, Slicers, Star, evaluate, reaches, slice_frame
+from carestrata.plans.star import DATE, ENCOUNTER, PATIENT, Slicers, Star, evaluate, internal, reaches, selects, slice_frame, split_field
 
 # The observation codes two charts are limited to, and the slicer fields of both pages.
 CHART_CODES = ["Blood Pressure", "Body Weight", "Heart rate", "Blood Glucose"]
@@ -107,18 +107,43 @@ def patients_by_condition(star: Star, slicers: Slicers | None = None) -> DataFra
     )
 
 
-def slicer_lists(star: Star) -> DataFrame:
-    """The value lists of the four value slicers as (slicer, value, encounters), with the encounters each selects."""
-    parts = []
-    for name, field in SLICER_FIELDS.items():
-        counted = evaluate(star, ["total_encounters"], [field])
-        parts.append(counted.select(F.lit(name).alias("slicer"), F.col(name).alias("value"), "total_encounters"))
-    return reduce(DataFrame.unionAll, parts)
+def slicer_lists(star: Star, slicers: Slicers | None = None) -> DataFrame:
+    """The value lists of the four value slicers as (slicer, value, encounters), with the encounters each selects.
 
-
-def date_hierarchy(star: Star) -> DataFrame:
-    """Year, quarter, month and day as the date slicer offers them, with the encounters that start each day."""
-    counted = star.encounters.groupBy("start_date_key").agg(F.count(F.lit(1)).alias("total_encounters"))
+    A list shows what the other slicers leave: every filter counts but the list's own. The fact is read once and shrinks
+    to the combinations of the four values, each with the own-filters it passes, before the lists are counted.
+    """
+    active = {k: v for k, v in (slicers or {}).items() if reaches(ENCOUNTER, k)}
+    others = {k: v for k, v in active.items() if k not in SLICER_FIELDS.values()}
+    frame = star.frame(ENCOUNTER, [*SLICER_FIELDS.values(), *others])
+    frame = slice_frame(star, frame, ENCOUNTER, others)
+    values = {name: F.col(internal(field)) for name, field in SLICER_FIELDS.items()}
+    combined = frame.groupBy(*[v.alias(n) for n, v in values.items()]).agg(F.count(F.lit(1)).alias("n"))
+
+    def passes(name: str) -> Column:
+        field = SLICER_FIELDS[name]
+        if field not in active:
+            return F.lit(True)
+        return F.coalesce(selects(F.col(name), active[field]), F.lit(False))
+
+    passed = {name: passes(name) for name in values}
+    entries = []
+    for name in values:
+        kept = reduce(lambda a, b: a & b, [passed[o] for o in values if o != name])
+        entries.append(F.when(kept, F.struct(F.lit(name).alias("slicer"), F.col(name).cast("string").alias("value"))))
+    each = combined.select("n", F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
+    return each.groupBy("e.slicer", "e.value").agg(F.sum("n").alias("total_encounters"))
+
+
+def date_hierarchy(star: Star, slicers: Slicers | None = None) -> DataFrame:
+    """Year, quarter, month and day as the date slicer offers them, with the encounters that start each day.
+
+    All days of the calendar are offered; the encounters are those under every slicer but the date's own.
+    """
+    active = {k: v for k, v in (slicers or {}).items() if split_field(k)[0] != DATE}
+    key = f"{ENCOUNTER}.start_date_key"
+    frame = _sliced_encounters(star, [key], active)
+    counted = frame.groupBy(F.col(internal(key)).alias("start_date_key")).agg(F.count(F.lit(1)).alias("total_encounters"))
     days = star.days.select("year", "quarter", "month_name", "full_date", "date_key").distinct()
     return (
         days.join(counted, F.col("date_key") == F.col("start_date_key"), "left")

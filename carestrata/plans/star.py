@@ -84,18 +84,19 @@ def reaches(fact: str, name: str) -> bool:
     return table == fact or table in RELATIONS[fact]
 
 
-def slice_condition(slicers: Slicers) -> Column:
-    """Conjunction of membership tests; a None among the values selects blanks. Text compares without case."""
+def selects(column: Column, values: list) -> Column:
+    """Whether a column is among a slicer's values; a None among them selects blanks. Text compares without case."""
+    given = [v for v in values if v is not None]
+    if given and all(isinstance(v, str) for v in given):
+        test = F.lower(column).isin([v.lower() for v in given])
+    else:
+        test = column.isin(given)
+    return test | column.isNull() if None in values else test
 
-    def one(name: str, values: list) -> Column:
-        column, given = F.col(internal(name)), [v for v in values if v is not None]
-        if given and all(isinstance(v, str) for v in given):
-            test = F.lower(column).isin([v.lower() for v in given])
-        else:
-            test = column.isin(given)
-        return test | column.isNull() if None in values else test
 
-    return reduce(lambda a, b: a & b, [one(n, v) for n, v in slicers.items()])
+def slice_condition(slicers: Slicers) -> Column:
+    """Conjunction of the membership tests of all slicers."""
+    return reduce(lambda a, b: a & b, [selects(F.col(internal(n)), v) for n, v in slicers.items()])
 
 
 def slice_frame(star: Star, frame: DataFrame, fact: str, slicers: Slicers, relations: dict | None = None) -> DataFrame:

@@ -276,8 +276,39 @@ def catalog_tables(lh: Lakehouse) -> DataFrame:
     """Catalog listing by prefix, with the rows behind each name and null for a table that does not exist."""
     database = _stored_star(lh)
     listed = [r["tableName"] for r in tables.list_tables(lh.spark, "fact_", database).collect()]
-    counts = tables.tolerant_counts(lh.spark, [f"{database}.{n}" for n in (*listed, "fact_missing")])
-    return lh.spark.createDataFrame([(n.split(".")[1], c) for n, c in counts.items()], "table_name string, row_count bigint")
+    counts = tables.tolerant_census(lh.spark, [f"{database}.{n}" for n in (*listed, "fact_missing")])
+    return counts.select(F.substring_index("tbl", ".", -1).alias("table_name"), F.col("cnt").alias("row_count"))
+
+
+@_query
+def check_partition_columns(lh: Lakehouse) -> DataFrame:
+    """What stored Bronze and Silver tables are partitioned by, against what they should be."""
+    database, expected = _database(lh, "layout"), {}
+    for resource in ("patient", "encounter"):
+        tables.create_partitioned(lh.table(f"bronze_{resource}"), f"{database}.bronze_{resource}", ["ingestion_date"])
+        expected[f"{database}.bronze_{resource}"] = ["ingestion_date"]
+    tables.replace_table(lh.table("silver_condition"), f"{database}.silver_condition")
+    return checks.partition_layout(lh.spark, expected | {f"{database}.silver_condition": ["ingestion_date"]})
+
+
+@_query
+def schema_evolution_stored(lh: Lakehouse) -> DataFrame:
+    """The drifted batch appended to a stored table whose entry is widened in place: the first batch's files stay."""
+    name = f"{_database(lh, 'evolve')}.bronze_patient"
+    first, second = _drifted(lh)
+    tables.create_partitioned(first, name, ["batch_id"])
+    file = F.col("_metadata.file_path")
+    before = stage(lh.spark.table(name).select(file.alias("file"), F.lit(True).alias("old_file")).distinct(), "files")
+    tables.evolve_and_append(bronze.rows_to_insert(lh.spark.table(name), second), name)
+    rows = lh.spark.table(name).withColumn("file", file).join(before, "file", "left")
+    return rows.select(
+        "resource_id",
+        "batch_id",
+        F.get("resource_data.address.district", F.lit(0)).alias("district"),
+        F.col("resource_data.maritalStatus.text").alias("marital_status"),
+        "name_count",
+        F.coalesce("old_file", F.lit(False)).alias("in_old_file"),
+    )
 
 
 @_query
@@ -849,6 +880,17 @@ def dash_date_hierarchy(lh: Lakehouse) -> DataFrame:
     return dashboard.date_hierarchy(star_of(lh))
 
 
+@_query
+def dash_slicer_lists_sliced(lh: Lakehouse) -> DataFrame:
+    """Each list under the other slicers of the page and the year."""
+    return dashboard.slicer_lists(star_of(lh), _PAGE_SLICERS)
+
+
+@_query
+def dash_date_hierarchy_sliced(lh: Lakehouse) -> DataFrame:
+    return dashboard.date_hierarchy(star_of(lh), _PAGE_SLICERS)
+
+
 _PAGE_SLICERS = {f"{PATIENT}.gender": ["MALE", "FEMALE"], _CLASS: ["IMP", "EMER"], f"{DATE}.year": [2023, 2024]}
 
 
@@ -960,3 +1002,34 @@ def run_log_and_events(lh: Lakehouse) -> DataFrame:
     events = spark.table(f"{database}.meta_event_log").filter("message = 'SCHEMA_DRIFT_NEW_COLUMNS'")
     drift = events.select(F.concat_ws(":", "message", F.col("context.new_columns")).alias("entry"), F.lit(1).cast("bigint").alias("cnt"))
     return steps.unionAll(drift)
+
+
+@_query
+def lifecycle_events(lh: Lakehouse) -> DataFrame:
+    """Events of two days of patients, the second of which finds a column of another type in the stored table."""
+    spark, root, database = lh.spark, scratch_path(lh.spark, "raw"), _database(lh, "events")
+    settings = tables.resource_config(spark).withColumn("active_flag", F.col("resource_type") == "Patient")
+    tables.replace_table(settings, f"{database}.meta_resource_config")
+    for batch in ("A", "B"):
+        _land(lh, _patients_of(lh, batch), root, "patient", f"batch{batch}", batch)
+        if batch == "B":
+            changed = spark.table(f"{database}.bronze_patient").withColumn("full_url", F.length("full_url"))
+            tables.replace_table(changed, f"{database}.bronze_patient", ["ingestion_date"])
+        cfg = RunConfig(
+            raw_root=root,
+            quarantine_root=scratch_path(spark, "quarantine"),
+            as_of=date.fromisoformat(fx.BATCHES[batch][0]),
+            source_system=fx.SOURCE_SYSTEM,
+            api_url=fx.API_URL,
+            run_id=f"run{batch}",
+            max_year=LAST_YEAR,
+            database=database,
+        )
+        run(spark, cfg)
+    wanted = F.col("message").isin("TABLE_CREATED", "SCHEMA_DRIFT_MERGE_FAILED")
+    detail = F.coalesce(F.col("context.column_count"), F.col("context.error"))
+    events = spark.table(f"{database}.meta_event_log").filter(wanted).select(
+        F.concat_ws(":", "level", "message", "context.resource_type", detail).alias("entry"), F.lit(1).cast("bigint").alias("cnt")
+    )
+    stored = spark.table(f"{database}.bronze_patient").agg(F.count(F.lit(1)).alias("cnt"))
+    return events.unionAll(stored.select(F.lit("bronze_patient").alias("entry"), "cnt"))

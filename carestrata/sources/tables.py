@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carestrata.schemas import EVENT_LOG, RESOURCE_CONFIG, RUN_LOG
 
@@ -114,8 +115,11 @@ def drop_old_versions(spark: SparkSession, name: str, retention_seconds: int = R
 
 
 def create_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> None:
-    """First load of a partitioned table."""
-    df.write.format("parquet").partitionBy(*partition_by).mode("errorifexists").saveAsTable(name)
+    """First load of a partitioned table, whose files lie in a version folder and outlive a change of its entry."""
+    database, table = _split(df.sparkSession, name)
+    path = f"{_folder(df.sparkSession, database)}/{table}{_VERSION}{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", path).partitionBy(*partition_by)
+    writer.mode("errorifexists").saveAsTable(f"{database}.{table}")
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -127,16 +131,57 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def widened(old: T.DataType, new: T.DataType, path: str = "") -> T.DataType:
+    """``old`` with the fields only ``new`` has behind its own, at every depth; an error where both differ in type."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        more, fields = {f.name: f for f in new.fields}, []
+        for field in old.fields:
+            other = more.pop(field.name, field)
+            fields.append(T.StructField(field.name, widened(field.dataType, other.dataType, f"{path}.{field.name}".lstrip(".")), True))
+        return T.StructType(fields + list(more.values()))
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(widened(old.elementType, new.elementType, f"{path}[]"), True)
+    if old.simpleString() != new.simpleString():
+        raise ValueError(f"{path} is {old.simpleString()} in the table and {new.simpleString()} in the batch")
+    return old
+
+
+def evolve_schema(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Give a table a wider schema without touching its files, which are read with null for what they lack.
+
+    A second catalog entry over the same folder takes the table's name; :func:`finish_swap` completes an interrupted
+    change. A table that owns its folder (one not written by :func:`create_partitioned` or :func:`replace_table`) is
+    rewritten once instead, since dropping its entry would delete its files.
+    """
+    database, table = _split(spark, name)
+    layout = partition_columns(spark, name)
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if described.get("Type") != "EXTERNAL":
+        empty = spark.createDataFrame([], schema)
+        replace_table(empty.unionByName(spark.table(name), allowMissingColumns=True), name, layout or None)
+        return
+    fresh, previous = f"{database}.{table}{_NEXT}", f"{database}.{table}{_PREVIOUS}"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    fields = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
+    by = f"PARTITIONED BY ({', '.join(layout)})" if layout else ""
+    spark.sql(f"CREATE TABLE {fresh} ({fields}) USING parquet {by} LOCATION '{described['Location']}'")
+    if layout:
+        spark.sql(f"ALTER TABLE {fresh} RECOVER PARTITIONS")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    spark.sql(f"ALTER TABLE {database}.{table} RENAME TO {previous}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {database}.{table}")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+
+
 def evolve_and_append(df: DataFrame, name: str) -> None:
-    """Append rows whose columns may have grown; the table is rebuilt only if its schema must change."""
+    """Append rows whose columns or nested fields may have grown; stored files are not rewritten for it."""
     spark = df.sparkSession
-    current = spark.table(name)
-    types = {f.name: f.dataType.simpleString() for f in current.schema.fields}
-    if types == {f.name: f.dataType.simpleString() for f in df.schema.fields}:
-        df.select(*current.columns).write.insertInto(name)
-        return
-    merged = current.unionByName(df, allowMissingColumns=True)
-    replace_table(merged, name, partition_columns(spark, name) or None)
+    current = spark.table(name).schema
+    schema = widened(current, df.schema)
+    if schema.simpleString() != widened(current, current).simpleString():
+        evolve_schema(spark, name, schema)
+    shaped = spark.createDataFrame([], spark.table(name).schema).unionByName(df, allowMissingColumns=True)
+    shaped.write.insertInto(name)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
@@ -281,6 +326,16 @@ def labelled_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def tolerant_census(spark: SparkSession, names: list[str]) -> DataFrame:
+    """Row count of each catalog table as (tbl, cnt), null where it does not exist; one plan over all tables."""
+    held = {n: spark.table(n) for n in names if table_exists(spark, n)}
+    absent = [F.struct(F.lit(n).alias("tbl"), F.lit(None).cast("bigint").alias("cnt")) for n in names if n not in held]
+    missing = spark.range(1).select(F.inline(F.array(*absent))) if absent else None
+    if not held:
+        return missing
+    return labelled_counts(held) if missing is None else labelled_counts(held).unionAll(missing)
+
+
 def tolerant_counts(spark: SparkSession, names: list[str]) -> dict[str, int | None]:
     """Row count of each catalog table, None where it does not exist."""
-    return {n: spark.table(n).count() if table_exists(spark, n) else None for n in names}
+    return {r["tbl"]: r["cnt"] for r in tolerant_census(spark, names).collect()} if names else {}

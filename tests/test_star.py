@@ -216,3 +216,22 @@ def test_aggregate_rules(spark):
     none = F.lit(None).cast("int")
     cases = [divide(F.lit(1), F.lit(0), F.lit(0.0)), divide(F.lit(1), none, F.lit(0.0)), divide(none, F.lit(2), F.lit(0.0))]
     assert tuple(df.select(*cases).first()) == (0.0, 0.0, None)
+
+
+def test_sliced_lists_read_the_fact_once(spark, sf_dir):
+    from carestrata.plans import dashboard
+    from carestrata.plans.lakehouse import open_lakehouse
+    from carestrata.registry import star_of
+
+    star = star_of(open_lakehouse(spark, sf_dir))
+    slicers = {"gold_dim_patient.gender": ["male", None], "fact_encounter.status": ["finished"], "dim_date.year": [2023]}
+    lists = dashboard.slicer_lists(star, slicers)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in line and "encounter_class" in line for line in plan.splitlines()) == 1
+    everything = star.frame("fact_encounter", ["fact_encounter.status", "gold_dim_patient.gender", "dim_date.year"])
+    base = everything.filter("dim_date__year = 2023")
+    by_gender = {r[0]: r[1] for r in base.filter("lower(fact_encounter__status) = 'finished'").groupBy("gold_dim_patient__gender").count().collect()}
+    by_status = {r[0]: r[1] for r in base.filter("lower(gold_dim_patient__gender) = 'male' OR gold_dim_patient__gender IS NULL").groupBy("fact_encounter__status").count().collect()}
+    got = {(r["slicer"], r["value"]): r["total_encounters"] for r in lists.collect()}
+    assert {v: n for (s, v), n in got.items() if s == "gender"} == by_gender
+    assert {v: n for (s, v), n in got.items() if s == "status"} == by_status

@@ -186,3 +186,32 @@ def test_an_interrupted_swap_loses_nothing(spark, database, monkeypatch, stop):
     assert spark.table(name).count() in (3, 5)
     tables.replace_table(spark.range(7), name)
     assert spark.table(name).count() == 7
+
+
+def test_a_wider_batch_leaves_stored_files_alone(spark, database, rows):
+    """New fields at the top, in a struct and in an array of structs; a second append needs no further change."""
+    name = f"{database}.wide"
+    first = spark.sql("SELECT 1 AS id, named_struct('a', 1, 'end', 'x') AS s, array(named_struct('k', 1)) AS l, 'd1' AS p")
+    tables.create_partitioned(first, name, ["p"])
+    held = {r[0] for r in spark.table(name).select("_metadata.file_path").collect()}
+    more = spark.sql("SELECT 2 AS id, named_struct('end', 'y', 'b', 2.5D) AS s, array(named_struct('k', 3, 'm', 'z')) AS l, 7 AS n, 'd2' AS p")
+    for _ in range(2):
+        tables.evolve_and_append(more, name)
+    got = spark.table(name)
+    assert held < {r[0] for r in got.select("_metadata.file_path").collect()}
+    old = ("d1", 1, 1, "x", None, 1, None, None)
+    new = ("d2", 2, None, "y", 2.5, 3, "z", 7)
+    assert rows(got.selectExpr("p", "id", "s.a", "s.end", "s.b", "l[0].k", "l[0].m", "n")) == [old, new, new]
+    assert tables.partition_columns(spark, name) == ["p"] and not tables.table_exists(spark, f"{name}__prev")
+    with pytest.raises(ValueError, match="l\\[\\].k is int in the table and string in the batch"):
+        tables.evolve_and_append(spark.sql("SELECT array(named_struct('k', 'text')) AS l, 'd3' AS p"), name)
+    assert tables.drop_old_versions(spark, name, 0) == 0 and spark.table(name).count() == 3
+
+
+def test_census_of_missing_tables(spark, database, rows):
+    tables.replace_table(spark.range(3), f"{database}.held")
+    names = [f"{database}.held", f"{database}.absent"]
+    assert rows(tables.tolerant_census(spark, names)) == [(names[1], None), (names[0], 3)] or rows(
+        tables.tolerant_census(spark, names)
+    ) == [(names[0], 3), (names[1], None)]
+    assert rows(tables.tolerant_census(spark, names[1:])) == [(names[1], None)]
