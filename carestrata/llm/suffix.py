@@ -30,7 +30,7 @@ GRAM = 32
 CHUNK = 1 << 16
 LONGEST_RUN = 512
 #: a hash with more different contexts is not sorted in one task: they are cut again by other hashes, ...
-MAX_CONTEXTS = 128
+MAX_CONTEXTS = 4096
 #: ... and after so many cuts their windows are compared by digest, wherever they are
 LEVELS = 2
 #: bytes of contexts sorted in step
