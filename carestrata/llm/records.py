@@ -25,8 +25,8 @@ from carestrata.llm.common import claim_folder, open_store, stage, write_file
 END_ID = 2
 #: text bytes a data shard aims at
 SHARD_BYTES = 8 << 20
-#: distinct words a worker remembers with their ids before it starts anew
-REMEMBERED_WORDS = 800_000
+#: distinct words a worker remembers with their ids; beyond half of it, those not met since the last turn are forgotten
+REMEMBERED_WORDS = 1_600_000
 
 INDEX_ENTRY = "<qQQ"
 _HEAD = "<QI"
@@ -148,6 +148,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # words met earlier, of which those that are met again are kept
         getattr(self.tokenizer.model, "_resize_cache", lambda n: None)(0)  # words are remembered here instead
         space = self.tokenizer.encode(" ").tokens[0]
         self.starts = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
@@ -163,8 +164,8 @@ class Encoder:
 
         Marks after a letter or digit are tokens of their own, so only the word before them has to be encoded.
         """
-        marked = {w: base for w in words if (base := w.rstrip(_MARKS)) != w and base[-1:].isalnum()}
-        plain = {marked.get(w, w) for w in words}
+        marked = {w: base for w in words if w[-1] in _MARKS and (base := w.rstrip(_MARKS))[-1:].isalnum()}
+        plain = (words - marked.keys()) | set(marked.values())
         spaced = [w for w in plain if w[0] != "\n" and w not in self.known]
         size = self.dtype.itemsize
         for start in range(0, len(spaced), 500):
@@ -179,22 +180,26 @@ class Encoder:
         for w, base in marked.items():
             self.known[w] = self.known[base] + self.tails[w[len(base) :]]
 
+    def _pieces(self, text: str) -> list[str] | None:
+        """Words after single spaces and, with it, after single line ends; None where there is other white space."""
+        regular = text and " ".join(text.split()) == text.replace("\n", " ")
+        if not regular or any(s in text for s in self.special):
+            return None
+        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known, self.tails = {}, {}
-        split: list[list[str] | None] = []
-        for text in texts:
-            regular = text and text.replace("\n", " ").split(" ") == text.split()
-            if not regular or any(s in text for s in self.special):
-                split.append(None)
-            else:
-                split.append(("\n" + text).replace("\n", " \n").split(" ")[1:])
-        get = self.known.get
-        found = [words and [get(w) for w in words] for words in split]
+        if len(self.known) > REMEMBERED_WORDS // 2:
+            self.known, self.before, self.tails = {}, self.known, {}
+        get, before = self.known.get, self.before
+        split = list(map(self._pieces, texts))
+        found = [words and list(map(get, words)) for words in split]
         lacking = [i for i, ids in enumerate(found) if ids and None in ids]
-        self._learn({w for i in lacking for w, ids in zip(split[i], found[i]) if ids is None})
+        wanted = {w for i in lacking for w, ids in zip(split[i], found[i]) if ids is None}
+        again = {w: before[w] for w in wanted if w in before}
+        self.known.update(again)
+        self._learn(wanted - again.keys())
         for i in lacking:
-            found[i] = [get(w) for w in split[i]]
+            found[i] = list(map(get, split[i]))
         out = []
         for text, ids in zip(texts, found):
             if ids is None:
@@ -292,6 +297,57 @@ def read_records(spark: SparkSession, folder: str, wide: bool = False, with_ids:
     return files.select("path", "content").mapInArrow(run, types)
 
 
+#: files a shuffled reader keeps open in a task
+_OPEN_FILES = 64
+
+
+def read_shuffled(spark: SparkSession, folder: str, seed: int = 0, wide: bool = False) -> DataFrame:
+    """``(place, doc_id, ids)`` of every record in an order that ``seed`` fixes; ``place`` ascends in that order.
+
+    Only the index shards are read to plan the order: an entry's place is a hash of seed, shard and offset, and ranges of
+    places are dealt to tasks. A task then fetches each of its records with one seek, and verifies its checksums.
+    """
+    dtype = np.dtype("<u4" if wide else "<u2")
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.read.schema(schema).format("binaryFile").option("pathGlobFilter", "data-*.idx").load(folder)
+
+    def entries(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = np.frombuffer(content.as_py(), np.dtype("<i8,<u8,<u8"))
+                for part in (found[i : i + 65536] for i in range(0, len(found), 65536)):
+                    columns = [pa.array([path] * len(part)), pa.array(part["f1"].astype(np.int64)), pa.array(part["f2"].astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "at", "n"])
+
+    planned = files.select("path", "content").mapInArrow(entries, "path string, at long, n long")
+    shard = F.regexp_extract("path", r"data-(\d+)\.idx$", 1)
+    placed = planned.withColumn("place", F.xxhash64(F.lit(seed).cast("long"), shard, "at"))
+    dealt = placed.repartitionByRange("place", "path", "at").sortWithinPartitions("place", "path", "at")
+
+    def fetch(batches):
+        held: dict = {}
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                rows = []
+                for path, at, n, place in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns)):
+                    if path not in held:
+                        if len(held) >= _OPEN_FILES:
+                            held.pop(next(iter(held))).close()
+                        store, name = open_store(path.removesuffix(".idx") + ".rec")
+                        held[path] = store.open_input_file(name)
+                    held[path].seek(at)
+                    frame = held[path].read(struct.calcsize(_HEAD) + 8 + n * dtype.itemsize + 4)
+                    (_, payload), = read_frames(frame)
+                    doc = struct.unpack_from("<q", payload)[0]
+                    rows.append((place, None if doc == -(2**63) else doc, np.frombuffer(payload, dtype, offset=8).astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["place", "doc_id", "ids"])
+        for file in held.values():
+            file.close()
+
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    return dealt.mapInArrow(fetch, "place long, doc_id long, ids array<long>")
+
+
 def document_digests(records: DataFrame) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)``; ``start`` counts the ids of all records before, in file order.
 

@@ -345,6 +345,20 @@ def test_mixing_follows_the_distribution(spark):
     assert keys == sorted(keys)
 
 
+def test_shuffled_read_is_a_permutation(spark, sf_dir):
+    from carestrata.llm.common import table
+    from carestrata.llm.records import read_records, read_shuffled, write_records
+
+    docs = table(spark, sf_dir, "documents")
+    folder = write_records(docs.union(docs.limit(3)).union(docs.selectExpr("NULL AS doc_id", "text", "lang", "source", "n_chars").limit(2)), tokenizer_path(), shard_bytes=60_000)
+    told = lambda df: [(r["doc_id"], tuple(r["ids"])) for r in df.select("doc_id", "ids").collect()]
+    in_order, one, same, other = told(read_records(spark, folder)), *(told(read_shuffled(spark, folder, seed)) for seed in (1, 1, 2))
+    assert sorted(one, key=repr) == sorted(other, key=repr) == sorted(in_order, key=repr) and len(one) == docs.count() + 5
+    assert one == same and one != other and one != in_order
+    places = [r["place"] for r in read_shuffled(spark, folder, 1).select("place").collect()]
+    assert places == sorted(places)
+
+
 def test_pipeline(spark, sf_dir, documents):
     import corpus_pipeline
     from carestrata.llm.decontam import contamination
