@@ -651,6 +651,10 @@ def _bodies() -> dict[str, str]:
     q["stored_views"] = _union(
         [f"SELECT '{v}' AS tbl, count(*) AS cnt FROM ({q[v]})" for v in ("vw_condition_distribution", "vw_fact_encounter", "vw_fact_observation")]
     )
+    for name in ("patients_mom", "patients_mom_by_state", "encounters_mtd_ytd_by_class"):
+        q[f"{name}_from_days"] = q[name]
+    q["totals_from_days"] = f"""
+        SELECT encounter_class, {_n()} AS total_encounters, {_patients()} AS total_patients FROM enc GROUP BY encounter_class"""
     q["catalog_tables"] = """
         SELECT 'fact_encounter' AS table_name, count(*) AS row_count FROM fact_encounter
         UNION ALL SELECT 'fact_observation', count(*) FROM fact_observation

@@ -49,11 +49,7 @@ def _sliced(star: Star, fields: list[str], slicers: Slicers | None) -> DataFrame
 def encounters_to_date(
     star: Star, group_by: list[str] | None = None, slicers: Slicers | None = None
 ) -> DataFrame:
-    """Encounters of each day with running month and year totals, for every calendar day up to the last year in use.
-
-    The fact is reduced to one row per day and group, then to one row per year with its days in a map of at most 366
-    entries. Spreading that row over the year's calendar days fills the gaps, and the windows keep its partitioning.
-    """
+    """Encounters of each day with running month and year totals, for every calendar day up to the last year in use."""
     keys = [internal(g) for g in group_by or []]
     frame = _sliced(star, [f"{ENCOUNTER}.start_date_key", *(group_by or [])], slicers)
     daily = (
@@ -61,6 +57,16 @@ def encounters_to_date(
         .groupBy(*keys, F.col(f"{ENCOUNTER}__start_date_key").alias("date_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    return _output_period(running_totals(star, daily, group_by), star, slicers, ["full_date"])
+
+
+def running_totals(star: Star, daily: DataFrame, group_by: list[str] | None = None) -> DataFrame:
+    """Month and year to date from ``daily``: one row ``(group columns, date_key, _n)`` per day and group.
+
+    The days shrink to one row per year, with a map of at most 366 entries. Spreading that row over the year's calendar
+    days fills the gaps, and the windows keep its partitioning.
+    """
+    keys = [internal(g) for g in group_by or []]
     yearly = daily.groupBy(*keys, F.floor(F.col("date_key") / 10000).cast("int").alias("year")).agg(
         F.map_from_entries(F.collect_list(F.struct("date_key", "_n"))).alias("_days")
     )
@@ -70,24 +76,19 @@ def encounters_to_date(
     )
     by_year = Window.partitionBy(*keys, "year").orderBy("full_date")
     by_month = Window.partitionBy(*keys, "year", "month").orderBy("full_date")
-    out = filled.select(
+    return filled.select(
         *[F.col(internal(g)).alias(split_field(g)[1]) for g in group_by or []],
         "full_date",
         blank_if_zero(F.col("_n")).alias("encounters"),
         blank_if_zero(F.sum("_n").over(by_month)).alias("encounters_mtd"),
         blank_if_zero(F.sum("_n").over(by_year)).alias("encounters_ytd"),
     )
-    return _output_period(out, star, slicers, ["full_date"])
 
 
 def _month_over_month(
     star: Star, expression: Column, name: str, uses: list[str], group_by: list[str] | None, slicers: Slicers | None
 ) -> DataFrame:
-    """Monthly value, prior month and change.
-
-    Each monthly row is its own month's value and the next month's prior one, so the fact is aggregated once and the
-    two meet in a second aggregation over a few rows.
-    """
+    """Monthly value, prior month and change."""
     keys = [internal(g) for g in group_by or []]
     year, month = f"{DATE}.year", f"{DATE}.month"
     frame = _sliced(star, [year, month, *uses, *(group_by or [])], slicers)
@@ -95,6 +96,16 @@ def _month_over_month(
     monthly = (
         frame.filter(F.col(internal(year)).isNotNull()).groupBy(*keys, index).agg(expression.alias("_value"))
     )
+    return _output_period(compared_months(star, monthly, name, group_by), star, slicers, ["year", "month"])
+
+
+def compared_months(star: Star, monthly: DataFrame, name: str, group_by: list[str] | None = None) -> DataFrame:
+    """Each month beside the one before, from ``monthly``: ``(group columns, _month_index, _value)``, one row per month.
+
+    A monthly row is its own month's value and the next month's prior one, so the two meet in one more aggregation over
+    a few rows.
+    """
+    keys = [internal(g) for g in group_by or []]
     none = F.lit(None).cast("bigint")
     roles = F.array(
         F.struct(F.col(_MONTH_INDEX).alias("_at"), F.col("_value").alias("_now"), none.alias("_prior")),
@@ -107,7 +118,7 @@ def _month_over_month(
     )
     bounds = star.days.agg(F.max(F.col("year") * 12 + F.col("month") - 1)).scalar()
     change = divide(F.coalesce("_now", F.lit(0)) - F.col("_prior"), F.col("_prior"), F.lit(None).cast("double"))
-    out = met.filter(F.col(_MONTH_INDEX) <= bounds).select(
+    return met.filter(F.col(_MONTH_INDEX) <= bounds).select(
         *[F.col(internal(g)).alias(split_field(g)[1]) for g in group_by or []],
         F.floor(F.col(_MONTH_INDEX) / 12).cast("int").alias("year"),
         (F.col(_MONTH_INDEX) % 12 + 1).cast("int").alias("month"),
@@ -115,7 +126,6 @@ def _month_over_month(
         F.col("_prior").alias(f"{name}_prior_month"),
         change.alias(f"{name}_mom_pct"),
     )
-    return _output_period(out, star, slicers, ["year", "month"])
 
 
 def encounters_by_month(star: Star, group_by: list[str] | None = None, slicers: Slicers | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.operators import bronze, checks, gold, scd2, silver
-from carestrata.plans import dashboard, periods, refresh
+from carestrata.plans import dashboard, day_state, periods, refresh
 from carestrata.plans.lakehouse import AS_OF, LAST_YEAR, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
 from carestrata.plans.run import RunConfig, run
 from carestrata.plans.views import create_views
@@ -837,6 +838,38 @@ def patients_mom_by_state(lh: Lakehouse) -> DataFrame:
     return _rounded(periods.patients_by_month(star_of(lh), [f"{PATIENT}.state"]), "patients_mom_pct")
 
 
+def _stored_days(lh: Lakehouse, group_by: list[str] | None = None) -> DataFrame:
+    """The state by day, first built while March 2023 was missing and had other rows in it, then refreshed for that month."""
+    star, name = star_of(lh), f"{_database(lh, 'days')}.encounter_days"
+    key = F.col("start_date_key")
+    early = star.encounters.filter(~key.between(20230310, 20230399) | key.isNull() | (key % 2 == 0))
+    day_state.store_days(replace(star, encounters=early), name, group_by)
+    day_state.refresh_days(star, name, [202303], group_by)
+    return day_state.read_days(lh.spark, name)
+
+
+@_query
+def patients_mom_from_days(lh: Lakehouse) -> DataFrame:
+    return _rounded(day_state.patients_by_month(star_of(lh), _stored_days(lh)), "patients_mom_pct")
+
+
+@_query
+def patients_mom_by_state_from_days(lh: Lakehouse) -> DataFrame:
+    by = [f"{PATIENT}.state"]
+    return _rounded(day_state.patients_by_month(star_of(lh), _stored_days(lh, by), by), "patients_mom_pct")
+
+
+@_query
+def encounters_mtd_ytd_by_class_from_days(lh: Lakehouse) -> DataFrame:
+    return day_state.encounters_to_date(star_of(lh), _stored_days(lh, [_CLASS]), [_CLASS])
+
+
+@_query
+def totals_from_days(lh: Lakehouse) -> DataFrame:
+    """Encounters and distinct patients by class, merged from all days."""
+    return day_state.totals(_stored_days(lh, [_CLASS]), [_CLASS])
+
+
 @_query
 def los_by_discharge(lh: Lakehouse) -> DataFrame:
     out = evaluate(star_of(lh), ["avg_los_by_discharge_date"], [f"{DATE}.year", f"{DATE}.month"])

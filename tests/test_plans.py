@@ -11,6 +11,7 @@ from carestrata.registry import all_queries
 
 # these write files and streams of their own and are covered elsewhere
 HEAVY = {"run_two_days", "stream_bronze_result", "compact_preserves", "raw_folder_census", "bronze_manifest_valid"}
+HEAVY |= {"stream_bronze_complete_batches", "run_log_and_events", "lifecycle_events"}
 PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonUDF")
 
 
@@ -80,3 +81,8 @@ def test_surrogate_keys_rank_no_row_in_a_single_task(spark, sf_dir):
     text = plan(all_queries()["gold_dim_patient"](spark, sf_dir))
     window = text[text.index("Window ") :]
     assert "_block" in window.splitlines()[0] and "patient_business_key" not in window.splitlines()[0]
+
+
+def test_totals_by_day_do_not_read_the_fact(spark, sf_dir):
+    text = plan(all_queries()["patients_mom_from_days"](spark, sf_dir))
+    assert "encounter_days" in text and "patient_sk" not in text and "start_date_key" not in text
