@@ -48,7 +48,10 @@ def arc_record(version: int, name: str, offset: int, url: str | None, content: b
 
 
 def members(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """``(offset, bytes)`` of every gzip member of a file."""
+    """``(offset, bytes)`` of every gzip member of a file; a file that is not packed is one piece."""
+    if data and data[:2] != b"\x1f\x8b":
+        yield 0, data
+        return
     at, view = 0, memoryview(data)
     while at < len(data):
         unpack, parts, end = zlib.decompressobj(31), [], at
@@ -67,25 +70,49 @@ def packed(data: bytes) -> bytes:
     return pack.compress(data) + pack.flush()
 
 
-def parse_arc(records: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """``(offset, fields, content)`` of every record after the version block; raises on a length that does not fit."""
+def parse_arc(chunks: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """``(offset, fields, content)`` of every record after the version block, by lines and declared lengths alone.
+
+    ``chunks`` are successive pieces of the unpacked file, whose borders mean nothing: a gzip member may hold several
+    records, or a part of one. ``offset`` counts unpacked bytes. Raises on a line that does not fit the version, on a
+    record not followed by a line end, and on bytes left over.
+    """
     names: list[str] | None = None
-    for offset, data in records:
-        line, _, rest = data.partition(b"\n")
-        text = line.decode("utf-8", "replace")
-        if names is None:
-            version = rest.split(b" ", 1)[0].decode()
-            if not text.startswith("filedesc://") or version not in ("1", "2"):
-                raise ValueError("no version block")
-            names = rest.split(b"\n")[1].decode().split(" ")
-            continue
-        values = text.rsplit(" ", len(names) - 1)  # only the URL, the first field, could hold a space
-        if len(values) != len(names) or not values[-1].isdigit():
-            raise ValueError(f"record line at {offset} does not fit the version: {text[:100]}")
-        length = int(values[-1])
-        if len(rest) < length:
-            raise ValueError(f"record at {offset} declares {length} bytes and has {len(rest)}")
-        yield offset, dict(zip(names, values)), rest[:length]
+    held, base, closed = bytearray(), 0, True  # closed: the line end of the last record was seen
+    for _, data in chunks:
+        held += data
+        at = 0
+        while at < len(held):
+            if held[at] == 10:  # the line end of a record; more of them are padding
+                at, closed = at + 1, True
+                continue
+            if not closed:
+                raise ValueError(f"no line end behind the record before {base + at}")
+            line_end = held.find(b"\n", at)
+            if line_end < 0:
+                break
+            text = held[at:line_end].decode("utf-8", "replace")
+            # only the URL, the first field, could hold a space
+            values = text.rsplit(" ", len(names) - 1) if names else text.split(" ")
+            if (names and len(values) != len(names)) or not values[-1].isdigit() or (not names and not text.startswith("filedesc://")):
+                raise ValueError(f"record line at {base + at} does not fit the version: {text[:100]}")
+            end = line_end + 1 + int(values[-1])
+            if end > len(held):
+                break
+            content = bytes(held[line_end + 1 : end])
+            if names is None:
+                version, _, rest = content.partition(b"\n")
+                if version.split(b" ", 1)[0] not in (b"1", b"2"):
+                    raise ValueError("no version block")
+                names = rest.split(b"\n")[0].decode().split(" ")
+            else:
+                yield base + at, dict(zip(names, values)), content
+            # a version block ends in its own line ends
+            at, closed = end, content.endswith(b"\n") and values[0].startswith("filedesc://")
+        base += at
+        del held[:at]
+    if held:
+        raise ValueError(f"{len(held)} bytes left over at {base}, which are no whole record")
 
 
 def http_parts(content: bytes) -> tuple[bytes, bytes]:
@@ -167,7 +194,7 @@ def write_arc(pages: DataFrame) -> str:
             for start in range(0, batch.num_rows, 64):
                 rows = batch.slice(start, 64).to_pydict()
                 for page, url, html in zip(rows["page_id"], rows["url"], rows["html"]):
-                    name, version = f"pages-{part:06d}-{files:04d}.arc", 1 + files % 2
+                    name, version = f"pages-{part:06d}-{files:04d}.arc", 1 + (part + files) % 2
                     if not parts:
                         parts.append(packed(arc_head(version, name)))
                     payload = (html or "").encode("utf-8", "surrogatepass")
@@ -188,9 +215,9 @@ def write_arc(pages: DataFrame) -> str:
     return folder
 
 
-def _archives(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+def _archives(spark: SparkSession, folder: str, names: str) -> DataFrame:
     schema = "path string, modificationTime timestamp, length long, content binary"
-    files = spark.read.schema(schema).format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
+    files = spark.read.schema(schema).format("binaryFile").option("pathGlobFilter", names).load(folder)
     return files.select("path", "content")
 
 
@@ -212,7 +239,7 @@ def arc_index(spark: SparkSession, folder: str) -> DataFrame:
 
     names = ["shard", "offset", "page_id", "payload_bytes", "digest", "record_id"]
     kinds = pa.schema(list(zip(names, [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()])))
-    return _archives(spark, folder, ".arc.gz").mapInArrow(
+    return _archives(spark, folder, "*.{arc,arc.gz}").mapInArrow(
         run, "shard string, offset long, page_id long, payload_bytes long, digest string, record_id string"
     )
 
@@ -233,7 +260,10 @@ def revisit_plan(index: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
 
 
 def convert_archives(spark: SparkSession, folder: str, min_revisit: int = MIN_REVISIT) -> str:
-    """Convert every ARC file of ``folder`` to a WARC file; returns the folder of the WARC files."""
+    """Convert every ARC file of ``folder``, packed or not, to a WARC file; returns the folder of the WARC files.
+
+    An archive that cannot be read to its end stops the conversion. A folder without archives gives an empty folder.
+    """
     out = claim_folder(spark, "warc")
     index = stage(arc_index(spark, folder), "arc-index")
     files = max(1, index.select("shard").distinct().count())
@@ -247,7 +277,7 @@ def convert_archives(spark: SparkSession, folder: str, min_revisit: int = MIN_RE
             packed(converted(shard, offset, fields, content, refers[offset]))
             for offset, fields, content in parse_arc(members(data))
         )
-        write_file(out, shard.replace(".arc.gz", ".warc.gz"), records)
+        write_file(out, f"{shard.removesuffix('.arc.gz')}.warc.gz", records)
 
     def run(batches):
         shard, refers, done = None, {}, 0
@@ -300,7 +330,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     names = ["record_id", "page_id", "url", "warc_date", "payload_bytes", "payload_digest", "record_type", "refers_id"]
     text, number = pa.string(), pa.int64()
     kinds = pa.schema(list(zip(names, [text, number, text, text, number, text, text, text])))
-    return _archives(spark, folder, ".warc.gz").mapInArrow(
+    return _archives(spark, folder, "*.warc.gz").mapInArrow(
         run,
         "record_id string, page_id long, url string, warc_date string, payload_bytes long, payload_digest string, record_type string, refers_id string",
     )

@@ -253,7 +253,7 @@ def test_arc_versions():
     for version in (1, 2):
         head, one = arc_head(version, "x.arc"), arc_record(version, "x.arc", 0, "http://a b/", b"HTTP/1.1 200 OK\r\n\r\nhello\n\nURL 1")
         ((offset, fields, content),) = parse_arc(iter([(0, head), (9, one)]))
-        assert (offset, fields["URL"], fields["Archive-length"], content[-5:]) == (9, "http://a%20b/", "31", b"URL 1")
+        assert (offset, fields["URL"], fields["Archive-length"], content[-5:]) == (len(head), "http://a%20b/", "31", b"URL 1")
         headers, block = parse_warc(converted("x", 9, fields, content, None))
         assert headers["WARC-Date"] == "2004-02-29T12:34:56Z" and headers["WARC-Type"] == "response" and block == content
         headers, block = parse_warc(converted("x", 9, fields, content, "abc"))
@@ -264,6 +264,40 @@ def test_arc_versions():
         list(parse_arc(iter([(0, one)])))
 
 
+def test_declared_lengths_delimit_records():
+    """Records across chunk borders anywhere, several in a chunk; bytes left over raise."""
+    from carestrata.llm.arc import arc_head, arc_record, members, packed, parse_arc
+
+    pick = random.Random(6)
+    for version in (1, 2):
+        contents = [bytes(pick.choices(b"ab \n\r1", k=pick.randint(0, 40))) for _ in range(30)]
+        whole = arc_head(version, "x.arc") + b"".join(arc_record(version, "x.arc", 0, f"http://h/{i}", c) for i, c in enumerate(contents))
+        for parts in (1, 2, 7, 40):
+            cuts = [0, *sorted(pick.sample(range(len(whole)), parts - 1)), len(whole)]
+            chunks = [whole[a:b] for a, b in zip(cuts, cuts[1:])]
+            for data in (iter([(0, c) for c in chunks]), members(b"".join(map(packed, chunks)))):
+                found = list(parse_arc(data))
+                assert [c for _, _, c in found] == contents and [f["URL"] for _, f, _ in found] == [f"http://h/{i}" for i in range(30)]
+                assert all(whole[offset:].startswith(b"http://h/") for offset, _, _ in found)
+        assert [c for _, _, c in parse_arc(members(whole))] == contents  # a file that is not packed
+        for broken in (whole + b"x", whole[:-2], whole + arc_record(version, "x", 0, "u", b"abc")[:-3], whole[:-1] + b"?" + whole):
+            with pytest.raises(ValueError):
+                list(parse_arc(iter([(0, broken)])))
+
+
+def test_archives_of_other_tools(spark, tmp_path):
+    from carestrata.llm.arc import arc_head, arc_record, archive_digests, convert_archives, packed, read_warc
+
+    pages = {n: f"page {n} ".encode() * (200 if n < 3 else 1) for n in range(6)}
+    body = lambda n: b"HTTP/1.1 200 OK\r\nX-Page-Id: %d\r\n\r\n" % n + pages[n]
+    for version, name in ((1, "one.arc.gz"), (2, "two.arc")):
+        own = range(3) if version == 1 else range(3, 6)
+        data = arc_head(version, name) + b"".join(arc_record(version, name, 0, "http://u/", body(n)) for n in own)
+        (tmp_path / name).write_bytes(packed(data) if name.endswith("gz") else data)
+    out = archive_digests(read_warc(spark, convert_archives(spark, f"file://{tmp_path}"))).collect()
+    assert {r["page_id"]: r["payload_digest"] for r in out} == {n: hashlib.sha1(p).hexdigest() for n, p in pages.items()}
+
+
 def test_archive_ties(spark):
     from carestrata.llm.arc import archive_digests, convert_archives, read_warc, write_arc
 
