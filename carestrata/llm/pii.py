@@ -1,29 +1,29 @@
 """Personal data: fixed patterns, and contextual extraction bootstrapped from what they find.
 
-What the fixed patterns find are seeds. The words before a seed are a lexical pattern; a pattern and the values that
-follow it form a bipartite graph. In each round a pattern's confidence is the share of its occurrences in the corpus
-that a believed value follows, and a value is believed as far as its patterns are (seeds fully). Values of a fitting
-shape after patterns of high confidence are identifiers that the fixed patterns missed.
+What the fixed patterns find are seeds. The words before a value are a lexical pattern; patterns and the values that
+follow them, seeds and other values of the shape of a kind, form a bipartite graph. In each round the patterns that
+enough believed values support are taken up, a pattern's confidence in a kind is the share of believed values of that
+kind among all values after it, and a value is believed as far as its confident patterns are (seeds fully). Values
+believed in one round support further patterns in the next. Values after confident patterns are identifiers that the
+fixed patterns missed.
 """
 
 from __future__ import annotations
 
 import re
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.common import stage
-from carestrata.llm.decontam import key_filter
 
 KINDS = ("email", "ip", "card", "phone")
-#: a pattern needs so many different seeds ...
+#: a pattern needs so many different believed values ...
 MIN_SEEDS = 3
 #: ... and so much confidence
 MIN_CONFIDENCE = 0.6
-ROUNDS = 3
+ROUNDS = 4
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -33,9 +33,11 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 #: shapes of what the fixed patterns do not take: addresses written around, and digits with separators
-_SHAPES = re.compile(r"[^\s@,;<>]+(?:@|\(at\)|\[at\])[^\s@,;<>]+|[(+]?[0-9](?:[ ().\-/]{0,2}[0-9]){6,18}")
-#: characters of context looked at on the left of a value
-CONTEXT = 80
+_AROUND = re.compile(r"@|\(at\)|\[at\]")
+_PART = re.compile(r"[^\s@,;<>]+")
+_STOPS = frozenset("@,;<>")
+_DIGITS = re.compile(r"[(+]?[0-9](?:[ ().\-/]{0,2}[0-9])++")
+MIN_DIGITS, MAX_DIGITS = 7, 19
 
 
 def luhn(digits: str) -> bool:
@@ -85,57 +87,63 @@ def plain_word(word: str) -> str:
     return word.strip("\"'.,;:!?()[]{}<>*#$%&|-=") or word
 
 
-def word_keys(words: list[str], known: dict[str, int]) -> np.ndarray:
-    """A 64-bit hash of every word without its outer punctuation."""
+def pattern_keys(words: list[str]) -> list[int]:
+    """Keys of the last word and of the last two words of ``words``, without their outer punctuation."""
     import xxhash
 
-    out = [known.get(w) for w in words]
-    if None in out:
-        if len(known) > 400_000:
-            known.clear()
-        for i, w in enumerate(words):
-            if out[i] is None:
-                out[i] = known[w] = xxhash.xxh64_intdigest(plain_word(w).encode("utf-8", "surrogatepass"), 1)
-    return np.array(out, dtype=np.uint64)
+    plain = [plain_word(w) for w in words[-2:]]
+    said = plain[-1:] + [" ".join(plain)] * (len(plain) == 2)
+    return [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 1) - (1 << 63) for w in said]
 
 
-def pair_keys(keys: np.ndarray) -> np.ndarray:
-    """A hash of every two neighbouring words."""
-    x = (keys[:-1] ^ (keys[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + keys[1:]
-    return (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+def contexts(text: str, starts: list[int]) -> dict[int, list[int]]:
+    """The pattern keys before each of ``starts``. A word ends where a value starts, so that a label may be glued to it.
 
-
-def cut_words(text: str, starts: list[int], begin: int, end: int) -> list[str]:
-    """Lower-cased words of ``text[begin:end]``, cut at white space and at the ``starts`` of values."""
-    cuts = [begin, *sorted({a for a in starts if begin < a < end}), end]
-    return [w for a, b in zip(cuts[:-1], cuts[1:]) for w in text[a:b].lower().split()]
+    Every character is looked at once.
+    """
+    out, words, before = {}, [], 0
+    for start in sorted(set(starts)):
+        words = (words + text[before:start].lower().split())[-2:]
+        out[start], before = pattern_keys(words), start
+    return out
 
 
-def contexts(text: str, start: int, starts: list[int]) -> list[int]:
-    """Keys of the one and the two words before a value."""
-    keys = word_keys(cut_words(text, starts, max(0, start - CONTEXT), start)[-2:], {})
-    return np.concatenate((keys[-1:], pair_keys(keys) if len(keys) == 2 else keys[:0])).astype(np.int64).tolist()
+def around_shapes(text: str) -> list[tuple[int, int]]:
+    """Addresses that may be written around their ``@``; looks left and right from each mark, over no character twice."""
+    out, free = [], 0
+    for mark in _AROUND.finditer(text):
+        start = mark.start()
+        while start > free and not text[start - 1].isspace() and text[start - 1] not in _STOPS:
+            start -= 1
+        domain = _PART.match(text, mark.end()) if start < mark.start() else None
+        if domain:
+            out.append((start, domain.end()))
+        free = max(free, domain.end() if domain else mark.end())
+    return out
 
 
 def unseen(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Values of the shape of a kind that overlap no base span."""
-    out: list[tuple[int, int, int]] = []
-    if not re.search("[0-9]{2}|@|at[)\\]]", text):
-        return out
-    ends = sorted((a, b) for _, a, b in taken)
-    for m in _SHAPES.finditer(text):
-        a, b = m.span()
-        if any(x < b and a < y for x, y in ends):
-            continue
-        if not m[0][-1].isdigit() or not _NOT_DIGIT.sub("", m[0][:1] + m[0][1:2]):
-            kind = 0 if re.search(r"@|\(at\)|\[at\]", m[0]) else 3
-        else:
-            digits = len(_NOT_DIGIT.sub("", m[0]))
-            kind = 0 if re.search(r"@|\(at\)|\[at\]", m[0]) else 2 if digits >= 16 else 1 if m[0].count(".") == 3 else 3
-        out.append((kind, a, b))
+    """Values of the shape of a kind that overlap no base span and each other neither, by start."""
+    found = [(a, b, 0) for a, b in around_shapes(text)]
+    for m in _DIGITS.finditer(text):
+        digits = len(_NOT_DIGIT.sub("", m[0]))
+        if MIN_DIGITS <= digits <= MAX_DIGITS:  # a longer run is no value, and is not cut into some
+            found.append((*m.span(), 2 if digits >= 16 else 1 if m[0].count(".") == 3 else 3))
+    out, spans, i, reach, free = [], sorted((a, b) for _, a, b in taken), 0, 0, 0
+    for a, b, kind in sorted(found):
+        while i < len(spans) and spans[i][0] < b:
+            reach, i = max(reach, spans[i][1]), i + 1
+        if a >= reach and a >= free:
+            out.append((kind, a, b))
+            free = b
     return out
 
 
+def value_key(kind: int, value: str) -> str:
+    """One spelling of a value: digits alone for numbers, lower case and a plain ``@`` for addresses."""
+    return _AROUND.sub("@", value.lower()) if kind == 0 else _NOT_DIGIT.sub("", value)
+
+
 _VALUE = "kind: int, start: long, end: long, value: string, seed: boolean, patterns: array<long>"
 _ROWS = f"doc_id long, base array<struct<kind: int, start: long, end: long>>, values array<struct<{_VALUE}>>"
 
@@ -156,11 +164,11 @@ def extract(docs: DataFrame) -> DataFrame:
                 text = text.as_py() or ""
                 base = base_spans(text)
                 found = [(s, True) for s in base] + [(s, False) for s in unseen(text, base)]
-                starts = [a for (_, a, _), _ in found]
+                before = contexts(text, [a for (_, a, _), _ in found])
                 all_base.append([dict(zip(("kind", "start", "end"), s)) for s in base])
                 all_values.append(
                     [
-                        {"kind": k, "start": a, "end": b, "value": text[a:b].lower(), "seed": seed, "patterns": contexts(text, a, starts)}
+                        {"kind": k, "start": a, "end": b, "value": value_key(k, text[a:b]), "seed": seed, "patterns": before[a]}
                         for (k, a, b), seed in found
                     ]
                 )
@@ -171,72 +179,42 @@ def extract(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _ROWS)
 
 
-def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """``(pattern, n)``: how often the words of each of ``patterns (pattern)`` occur in all texts.
-
-    A word ends where a value starts, as in ``contexts``, so that a label glued to its value is counted.
-
-    A filter of bounded size keeps most other words out of the shuffle; the join makes the count exact.
-    """
-    wanted = patterns.select(F.col("pattern").alias("key"))
-    shared = docs.sparkSession.sparkContext.broadcast(key_filter(docs.sparkSession, wanted, wanted.count()))
-
-    def run(batches):
-        bloom = shared.value
-        n_bits = np.uint64(len(bloom) * 32 - 1)
-        known: dict[str, int] = {}
-
-        def there(bit: np.ndarray) -> np.ndarray:
-            word = bloom[(bit >> np.uint64(5)).astype(np.int64)]
-            return (word >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
-
-        def passing(keys: np.ndarray) -> np.ndarray:
-            return keys[there(keys & n_bits) & there((keys >> np.uint64(32)) & n_bits)]
-
-        for batch in batches:
-            met = []
-            for text in batch.column(0):
-                text = text.as_py() or ""
-                base = base_spans(text)
-                starts = [a for _, a, _ in base + unseen(text, base)]
-                keys = word_keys(cut_words(text, starts, 0, len(text)), known)
-                met += [passing(keys), passing(pair_keys(keys))]
-            pattern, n = np.unique(np.concatenate(met), return_counts=True)
-            if len(pattern):
-                yield pa.RecordBatch.from_arrays([pa.array(pattern.astype(np.int64)), pa.array(n.astype(np.int64))], ["pattern", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-    return counted.join(patterns, "pattern", "left_semi")
-
-
 def confident_patterns(
-    docs: DataFrame, rows: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, rounds: int = ROUNDS
+    rows: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, rounds: int = ROUNDS
 ) -> DataFrame:
-    """``(pattern, kind, confidence)`` of the patterns to trust, from the graph of patterns and values in ``rows``."""
+    """``(pattern, kind, confidence)`` of the patterns to trust, from the graph of patterns and values in ``rows``.
+
+    Values and patterns are counted before they are joined, so that a pattern or a value with a large share of all
+    occurrences is one row of the graph. What the seeds contribute does not change from round to round and is added up
+    once; only the edges of other values are walked again.
+    """
     values = rows.select(F.explode("values").alias("v")).select("v.kind", "v.value", "v.seed", F.explode("v.patterns").alias("pattern"))
-    edges = values.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
-    edges = stage(edges, "pii-edges")
-    seeds = edges.where("seed").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    supported = stage(seeds.where(F.col("seeds") >= min_seeds).select("pattern", "kind"), "pii-patterns")
-    none = supported.select("pattern", "kind", F.lit(1.0).alias("confidence")).limit(0)
-    if supported.isEmpty():
-        return none
-    counts = stage(occurrences(docs, supported.select("pattern").distinct()), "pii-occurrences")
-    graph = edges.join(supported, ["pattern", "kind"]).join(counts.withColumnRenamed("n", "total"), "pattern", "left")
-    graph = graph.withColumn("total", F.coalesce("total", F.lit(0)))
-    graph = stage(graph, "pii-graph")
-    value = ["pattern", "kind", "value", "n", "total", "seed"]
-    belief = graph.select(*value, F.col("seed").cast("double").alias("score"))
-    confidence = none
+    edges = stage(values.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed")), "pii-edges")
+    seeds = edges.where("seed").select("kind", "value").distinct().withColumn("known", F.lit(True))
+    known = edges.join(seeds, ["kind", "value"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    known = stage(known, "pii-known")  # a value that is a seed anywhere is believed everywhere
+    sums = known.groupBy("pattern", "kind").agg(
+        F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("sure"), F.count_if("known").alias("seeds")
+    )
+    after = known.groupBy("pattern").agg(F.sum("n").alias("total"))
+    fixed = stage(sums.join(after, "pattern"), "pii-patterns")
+    unsure = known.where("NOT known").select("pattern", "kind", "value", "n")
+    belief = stage(unsure.select("kind", "value").distinct().withColumn("score", F.lit(0.0)), "pii-belief")
+    trusted = None
     for _ in range(rounds):
-        share = F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))
-        confidence = stage(belief.groupBy("pattern", "kind").agg(share.alias("confidence")), "pii-confidence")
-        doubt = graph.join(confidence, ["pattern", "kind"]).groupBy("kind", "value").agg(
-            F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))).alias("doubt")
+        scored = unsure.join(belief, ["kind", "value"])
+        added = scored.groupBy("pattern", "kind").agg(
+            F.sum(F.col("n") * F.col("score")).alias("more"), F.count_if(F.col("score") >= min_confidence).alias("others")
         )
-        score = F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("doubt"))
-        belief = stage(graph.join(doubt, ["kind", "value"]).select(*value, score.alias("score")), "pii-belief")
-    return confidence.where(F.col("confidence") >= min_confidence)
+        # one unbelieved value more keeps a pattern that was met a few times from being sure
+        share = (F.col("sure") + F.coalesce("more", F.lit(0.0))) / (F.col("total") + 1)
+        support = F.col("seeds") + F.coalesce("others", F.lit(0))
+        trusted = fixed.join(added, ["pattern", "kind"], "left").where((support >= min_seeds) & (share >= min_confidence))
+        trusted = stage(trusted.select("pattern", "kind", share.alias("confidence")), "pii-confidence")
+        doubt = unsure.join(trusted, ["pattern", "kind"]).groupBy("kind", "value").agg(F.sum(F.log1p(-F.col("confidence"))).alias("doubt"))
+        believed = belief.select("kind", "value").join(doubt, ["kind", "value"], "left")
+        belief = stage(believed.select("kind", "value", F.coalesce(1 - F.exp("doubt"), F.lit(0.0)).alias("score")), "pii-belief")
+    return trusted
 
 
 def find_personal_data(docs: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -247,7 +225,7 @@ def find_personal_data(docs: DataFrame, min_seeds: int = MIN_SEEDS, min_confiden
     apart even where a doc_id is null or repeated; other columns are ignored; an empty table gives an empty result.
     """
     rows = stage(extract(docs).withColumn("row", F.monotonically_increasing_id()), "pii-rows")
-    trusted = confident_patterns(docs, rows, min_seeds, min_confidence)
+    trusted = confident_patterns(rows, min_seeds, min_confidence)
     values = rows.select("row", F.explode("values").alias("v")).where("NOT v.seed")
     hits = values.select("row", "v.kind", "v.start", "v.end", F.explode("v.patterns").alias("pattern")).join(trusted, ["pattern", "kind"])
     per_row = hits.groupBy("row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("found"))
