@@ -25,6 +25,7 @@ LAYERS = [
 ]
 # these land raw files first, so one run is enough
 ONCE = {"run_two_days", "bronze_manifest_valid", "raw_folder_census", "stream_bronze_result", "bronze_explode_pages"}
+ONCE |= {"stream_bronze_complete_batches", "run_log_and_events", "lifecycle_events", "catalog_tables", "stored_views"}
 
 
 def timed(action) -> float:
