@@ -111,8 +111,8 @@ def stream_complete_batches(
 
     def load(batch: DataFrame, epoch: int) -> None:
         session, path = batch.sparkSession, f"{reports}/epoch={epoch}"
-        # written first, since the state behind the stream must be read once
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/of=names")
+        # written first, since the state behind the stream must be read once; few rows, and the state keeps its own tasks
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/of=names")
         told = session.read.schema(kept).parquet(f"{path}/of=names")
         complete = told.filter(F.col("status") == COMPLETE)
         days = [r[0] for r in complete.select("ingestion_date").distinct().collect()]
@@ -121,7 +121,7 @@ def stream_complete_batches(
         pages = read_pages(session, root, resource, ingestion_date=days, batches=complete, multi_line=multi_line, raw=True)
         whole = page_integrity(pages, complete).select(*BATCH, "is_whole")
         refused = complete.join(whole.filter("NOT is_whole"), BATCH, "left_semi").withColumn("status", F.lit(REFUSED))
-        refused.coalesce(1).write.mode("overwrite").parquet(f"{path}/of=pages")
+        refused.repartition(1).write.mode("overwrite").parquet(f"{path}/of=pages")
         out = session.read.schema(kept).parquet(f"{path}/of=pages")
         loaded = complete.join(out, BATCH, "left_anti")
         if loaded.isEmpty():
