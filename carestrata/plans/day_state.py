@@ -46,7 +46,7 @@ def refresh_days(star: Star, name: str, months: list[int | None], group_by: list
     wanted = spans[0]
     for span in spans[1:]:
         wanted = wanted | span
-    part = Star(star.encounters.filter(wanted), star.observations, star.conditions, star.patients, star.days)
+    part = star.with_encounters(star.encounters.filter(wanted))
     tables.overwrite_table_partitions(_by_month(encounter_days(part, group_by)), name)
     left = {r[0] for r in part.encounters.select(F.expr("CAST(start_date_key DIV 100 AS INT)")).distinct().collect()}
     drop_months(spark, name, set(months) - left)

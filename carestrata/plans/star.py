@@ -27,6 +27,8 @@ RELATIONS = {
 }
 DISCHARGE = {ENCOUNTER: {**RELATIONS[ENCOUNTER], DATE: ("end_date_key", "date_key")}}
 
+_FIELDS = {ENCOUNTER: "encounters", OBSERVATION: "observations", CONDITION: "conditions", PATIENT: "patients", DATE: "days"}
+
 Slicers = dict[str, list]
 
 
@@ -50,13 +52,11 @@ class Star:
     days: DataFrame
 
     def source(self, table: str) -> DataFrame:
-        return {
-            ENCOUNTER: self.encounters,
-            OBSERVATION: self.observations,
-            CONDITION: self.conditions,
-            PATIENT: self.patients,
-            DATE: self.days,
-        }[table]
+        return getattr(self, _FIELDS[table])
+
+    def with_encounters(self, rows: DataFrame) -> Star:
+        """The same star over other encounters."""
+        return StoredStar(lambda table: rows if table == ENCOUNTER else self.source(table))
 
     def frame(self, fact: str, fields: Iterable[str], relations: dict | None = None) -> DataFrame:
         """The fact with ``fields`` as ``table__column``, joined only to the dimensions those fields come from."""
@@ -79,6 +79,19 @@ class Star:
         return out
 
 
+class StoredStar(Star):
+    """A star that asks for a table by name when a query first reads it, and so for no table a query does not read."""
+
+    def __init__(self, table: Callable[[str], DataFrame]):
+        object.__setattr__(self, "_table", table)
+
+    encounters = property(lambda self: self._table(ENCOUNTER))
+    observations = property(lambda self: self._table(OBSERVATION))
+    conditions = property(lambda self: self._table(CONDITION))
+    patients = property(lambda self: self._table(PATIENT))
+    days = property(lambda self: self._table(DATE))
+
+
 def reaches(fact: str, name: str) -> bool:
     table, _ = split_field(name)
     return table == fact or table in RELATIONS[fact]

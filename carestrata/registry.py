@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -16,7 +15,7 @@ from carestrata.plans import dashboard, day_state, periods, refresh
 from carestrata.plans.lakehouse import AS_OF, LAST_YEAR, LOADED_AT, SECOND_LOAD, Lakehouse, open_lakehouse
 from carestrata.plans.run import RunConfig, run
 from carestrata.plans.views import create_views
-from carestrata.plans.star import DATE, ENCOUNTER, OBSERVATION, CONDITION, PATIENT, Star, evaluate
+from carestrata.plans.star import DATE, ENCOUNTER, OBSERVATION, CONDITION, PATIENT, Star, StoredStar, evaluate
 from carestrata.schemas import resource_schema
 from carestrata.sources import fixtures as fx
 from carestrata.sources import landing, tables
@@ -40,8 +39,7 @@ def all_queries() -> dict[str, Query]:
 
 
 def star_of(lh: Lakehouse) -> Star:
-    names = ["fact_encounter", "fact_observation", "gold_dim_condition", "gold_dim_patient", "dim_date"]
-    return Star(*[lh.table(n) for n in names])
+    return StoredStar(lh.table)
 
 
 # --- landing and Bronze ---------------------------------------------------------------------------------------------
@@ -843,7 +841,7 @@ def _stored_days(lh: Lakehouse, group_by: list[str] | None = None) -> DataFrame:
     star, name = star_of(lh), f"{_database(lh, 'days')}.encounter_days"
     key = F.col("start_date_key")
     early = star.encounters.filter(~key.between(20230310, 20230399) | key.isNull() | (key % 2 == 0))
-    day_state.store_days(replace(star, encounters=early), name, group_by)
+    day_state.store_days(star.with_encounters(early), name, group_by)
     day_state.refresh_days(star, name, [202303], group_by)
     return day_state.read_days(lh.spark, name)
 

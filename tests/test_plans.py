@@ -86,3 +86,17 @@ def test_surrogate_keys_rank_no_row_in_a_single_task(spark, sf_dir):
 def test_totals_by_day_do_not_read_the_fact(spark, sf_dir):
     text = plan(all_queries()["patients_mom_from_days"](spark, sf_dir))
     assert "encounter_days" in text and "patient_sk" not in text and "start_date_key" not in text
+
+
+def test_a_query_builds_only_the_tables_it_reads(spark, sf_dir):
+    from carestrata.plans import dashboard, day_state
+    from carestrata.plans.lakehouse import Lakehouse
+    from carestrata.registry import star_of
+
+    lh = Lakehouse(spark, sf_dir)
+    star = star_of(lh)
+    dashboard.encounters_by_age_group(star).collect()
+    day_state.encounter_days(star.with_encounters(star.encounters.limit(5))).collect()
+    built = set(lh._stored)
+    assert {"bronze_patient", "silver_patient", "dim_patient", "gold_dim_patient", "bronze_encounter", "fact_encounter"} <= built
+    assert not [t for t in built if "observation" in t or "condition" in t]
