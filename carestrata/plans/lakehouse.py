@@ -11,19 +11,19 @@ from carestrata.operators import gold, scd2, silver
 from carestrata.operators.bronze import bronze_rows
 from carestrata.session import configure
 from carestrata.sources import fixtures as fx
-from carestrata.sources.storage import stage
+from carestrata.sources.storage import dealt, stage
 
 AS_OF = date(2024, 6, 30)
 FIRST_LOAD, SECOND_LOAD = date(2024, 1, 1), date(2024, 1, 2)
 LAST_YEAR = 2026  # the bound the SQL for these layers states
 LOADED_AT = datetime(2024, 1, 2, 8, 0, tzinfo=timezone.utc)
 
-# Columns the stored copy is partitioned by.
+# Columns the stored copy is partitioned by, and the row key.
 PARTITIONS = {
-    "bronze_patient": ["ingestion_date"],
-    "bronze_event": ["ingestion_date"],
-    "dim_patient": ["scd_current_flag"],
-    "dim_condition": ["scd_current_flag"],
+    "bronze_patient": (["ingestion_date"], "resource_id"),
+    "bronze_event": (["ingestion_date"], "resource_id"),
+    "dim_patient": (["scd_current_flag"], "patient_id"),
+    "dim_condition": (["scd_current_flag"], "condition_id"),
 }
 
 # Facts whose stored copy is laid out by day: day key, row key.
@@ -46,7 +46,8 @@ class Lakehouse:
             rows = self.derive(name)
             if name in BY_DAY:
                 rows = gold.clustered_by_day(rows, *BY_DAY[name])
-            self._stored[name] = stage(rows, name, PARTITIONS.get(name))
+            layout, key = PARTITIONS.get(name, (None, None))
+            self._stored[name] = stage(dealt(rows, layout, key) if layout else rows, name, layout)
         return self._stored[name]
 
     def derive(self, name: str) -> DataFrame:

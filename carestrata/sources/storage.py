@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_SLOTS = 16
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -46,6 +49,16 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     return read_table(df.sparkSession, path, df.schema).select(*df.columns)
 
 
+def dealt(df: DataFrame, partition_by: list[str], key: str) -> DataFrame:
+    """``df`` dealt for a write by ``partition_by``, in tasks of the adaptive advisory size.
+
+    Such a write sorts what a task holds by partition. Dealt like this, the sort follows the advisory size and neither the
+    table's nor an input split's; slots of ``key`` let a large partition go to many tasks.
+    """
+    slots = df.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(_SLOTS)))
+    return slots.hint("rebalance", *partition_by, "_slot").drop("_slot")
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a frame that :func:`stage` returned, once nothing reads it any more."""
     spark = df.sparkSession
