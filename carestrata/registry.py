@@ -26,6 +26,7 @@ from carestrata.streaming.complete_batches import waiting_batches
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _PAGES_PER_FILE = 64
+_ROWS_PER_WRITER = 1_000_000
 
 
 def _query(fn: Callable[[Lakehouse], DataFrame]) -> Callable[[Lakehouse], DataFrame]:
@@ -205,12 +206,17 @@ def table_detail(lh: Lakehouse) -> DataFrame:
     )
 
 
+def _writers(rows: DataFrame) -> int:
+    """Six tasks, or as many as keep the rows that each sorts by day few; the count comes from the files' footers."""
+    return max(6, -(-rows.count() // _ROWS_PER_WRITER))
+
+
 @_query
 def compact_preserves(lh: Lakehouse) -> DataFrame:
     """Content per day after compacting a table written as many small files."""
     spark, path = lh.spark, scratch_path(lh.spark, "compact-events")
     rows = _event_view(lh.table("bronze_event"))
-    rows.repartition(6).write.partitionBy("ingestion_date").parquet(path)
+    rows.repartition(_writers(rows)).write.partitionBy("ingestion_date").parquet(path)
     before = spark.read.schema(rows.schema).parquet(path)
     files_before = tables.table_detail(before, ["ingestion_date"]).select(
         "ingestion_date", F.col("num_files").alias("_before")

@@ -7,7 +7,7 @@ import uuid
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -243,20 +243,24 @@ def _packed(table: DataFrame, partition_by: str, target_bytes: int, min_files: i
     """Rows of the partitions that have more files than their bytes need, dealt over the files they do need.
 
     Rows go to ``ceil(bytes / target)`` writers by their position in their file, so one large partition is never one
-    task and a retried task deals the same rows the same way.
+    task and a retried task deals the same rows the same way. Writers are numbered through all partitions: each task
+    writes one file, and two large partitions never meet in one as they would by hash.
     """
     detail = table_detail(table, [partition_by]).withColumn(
         "_files", F.ceil(F.col("size_in_bytes") / F.lit(target_bytes)).cast("int")
     )
     too_many = (F.col("num_files") > F.col("_files")) & (F.col("num_files") >= min_files)
-    small = detail.filter(too_many).select(partition_by, "_files")
+    earlier = Window.orderBy(partition_by).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition to rewrite
+    first = F.coalesce(F.sum("_files").over(earlier), F.lit(0)).alias("_first")
+    small = detail.filter(too_many).select(partition_by, "_files", first)
     files = small.agg(F.sum("_files")).first()[0]
     if not files:
         return None
     numbered = table.select("*", F.col("_metadata.row_index").alias("_row"))
     # one row per partition to rewrite; a shuffle by partition would put a day into one task
-    dealt = numbered.join(F.broadcast(small), partition_by).withColumn("_slot", F.pmod("_row", "_files"))
-    return dealt.repartition(int(files), partition_by, "_slot").select(*table.columns)
+    dealt = numbered.join(F.broadcast(small), partition_by)
+    writer = (F.col("_first") + F.pmod("_row", "_files")).cast("int")
+    return dealt.repartitionById(int(files), writer).select(*table.columns)
 
 
 def compact(

@@ -215,3 +215,17 @@ def test_census_of_missing_tables(spark, database, rows):
         tables.tolerant_census(spark, names)
     ) == [(names[0], 3), (names[1], None)]
     assert rows(tables.tolerant_census(spark, names[1:])) == [(names[1], None)]
+
+
+def test_compaction_writes_each_file_in_a_task_of_its_own(spark, tmp_path):
+    path, day = str(tmp_path / "t"), F.concat(F.lit("d"), F.col("id") % 12)
+    spark.range(0, 1200, 1, 3).withColumn("day", day).write.partitionBy("day").parquet(path)
+    packed = tables._packed(spark.read.schema("id bigint, day string").parquet(path), "day", tables.TARGET_BYTES, 2)
+    per_task = packed.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("day").alias("days"), F.count("*").alias("n"))
+    assert [(r["days"], r["n"]) for r in per_task.collect()] == [(1, 100)] * 12
+
+
+def test_writers_of_small_files_follow_the_rows(spark):
+    from carestrata.registry import _ROWS_PER_WRITER, _writers
+
+    assert [_writers(spark.range(n)) for n in (0, 10, 6 * _ROWS_PER_WRITER + 1)] == [6, 6, 7]
