@@ -10,12 +10,15 @@ from pyspark.sql import types as T
 
 from carestrata.operators.bronze import bronze_rows, explode_pages, rows_to_insert
 from carestrata.schemas import page_schema, raw_page_schema
-from carestrata.sources.landing import page_integrity, read_pages, resource_root
+from carestrata.sources.landing import PAGE_FILES, page_integrity, read_pages, resource_root
 from carestrata.streaming.complete_batches import BATCH, COMPLETE, STATUS, batch_reports, use_state_store
 
 #: a batch that is complete by its names, but has unreadable pages or other records than its manifest says
 REFUSED = "REFUSED"
 
+#: names of a micro-batch; contents are read by complete batch, so the number of micro-batches need not grow with files
+MAX_NAMES = 100_000
+
 
 def page_stream(spark: SparkSession, root: str, resource: str, max_files: int = 1000) -> DataFrame:
     """New page files below the resource's landing folder as they arrive, each resource as its untouched JSON text."""
@@ -26,7 +29,7 @@ def page_stream(spark: SparkSession, root: str, resource: str, max_files: int =
     return (
         spark.readStream.schema(kept)
         .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", PAGE_FILES)
         .json(resource_root(root, resource))
         .withColumn("file_name", F.col("_metadata.file_path"))
     )
@@ -94,14 +97,14 @@ def stream_complete_batches(
     api_url: str,
     load_ts: datetime | None = None,
     schema: T.StructType | None = None,
-    max_files: int = 1000,
+    max_files: int = MAX_NAMES,
     multi_line: bool = False,
 ):
     """Load every batch that became complete since the last call, and stop; returns the finished query.
 
     Names of pages and manifests stream through the state of :func:`batch_reports`, so a batch with missing or extra
     files waits however often this runs, and its pages are read once, when it is complete: with the same checks and the
-    same insert-only merge as the batch load. ``reports`` holds a row for each batch reported by a micro-batch
+    same insert-only merge as the batch load. ``max_files`` bounds the names of a micro-batch. ``reports`` holds a row for each batch reported by a micro-batch
     (partition ``epoch``); a complete batch that cannot be read in full is REFUSED there and not loaded. A micro-batch
     that runs again after a failure replaces its reports and inserts nothing twice.
     """

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from carestrata.schemas import MANIFEST_DDL
-from carestrata.sources.landing import manifest_root, resource_root
+from carestrata.sources.landing import PAGE_FILES, manifest_root, resource_root
 
 _PLACE = r"ingestion_date=([^/]+)/batch_id=([^/]+)/([^/]+)$"
 BATCH = ["ingestion_date", "batch_id"]
@@ -44,7 +44,7 @@ def arrived_pages(spark: SparkSession, root: str, resource: str, max_files: int
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", PAGE_FILES)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
         .load(resource_root(root, resource))

@@ -129,3 +129,43 @@ def test_a_running_stream_reports_batches_that_wait(spark, tmp_path):
     finally:
         query.stop()
     assert (told[0]["status"], told[0]["files_listed"], told[0]["files_found"]) == ("WAITING", 2, 1)
+
+
+def test_packed_pages_are_read_and_numbering_leaves_no_copy(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    people = spark.range(120).select(F.struct(F.concat(F.lit("p"), "id").alias("id"), F.lit("male").alias("gender")).alias("resource"))
+    kept = f"{spark.conf.get('spark.checkpoint.dir')}/carestrata/{spark.sparkContext.applicationId}"
+    before = set(glob.glob(f"{kept}/key-_n-*"))
+    landing.land_batch(
+        people, root, "patient", batch_id="b1", ingestion_date="2024-01-01", extraction_timestamp="2024-01-01T06:00:00+00:00", api_url="u", compression="gzip"
+    )
+    assert set(glob.glob(f"{kept}/key-_n-*")) == before
+    packed = glob.glob(f"{root}/patient/**/*.json.gz", recursive=True)
+    assert len(packed) == 3
+    entries = landing.page_entries(landing.read_pages(spark, root, "patient", ingestion_date="2024-01-01", raw=True))
+    assert entries.filter("entry IS NOT NULL AND NOT _unreadable").count() == 120
+    manifests, files = landing.read_manifests(spark, root, "patient"), landing.list_files(spark, landing.resource_root(root, "patient"))
+    assert landing.valid_batches(manifests, files).count() == 1
+
+
+def test_arriving_folders_move_whole(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from carestrata.registry import _arrive
+
+    for place in ("patient/ingestion_date=1/batch_id=a", "patient/ingestion_date=1/batch_id=b", "manifests/patient/for_date=1/for_batch=a"):
+        os.makedirs(f"{tmp_path}/from/{place}")
+        for i in range(3):
+            open(f"{tmp_path}/from/{place}/{i}.json", "w").close()
+    _arrive(SimpleNamespace(spark=spark), f"{tmp_path}/from", f"{tmp_path}/to", "batch_id=a/|for_batch=a/")
+    moved = {p.split("/to/", 1)[1] for p in glob.glob(f"{tmp_path}/to/**/*.json", recursive=True)}
+    assert moved == {f"{d}/{i}.json" for d in ("patient/ingestion_date=1/batch_id=a", "manifests/patient/for_date=1/for_batch=a") for i in range(3)}
+    assert not glob.glob(f"{tmp_path}/from/patient/ingestion_date=1/batch_id=a")
+
+
+def test_names_of_many_files_share_a_micro_batch():
+    import inspect
+
+    from carestrata.streaming.bronze_stream import stream_complete_batches
+
+    assert inspect.signature(stream_complete_batches).parameters["max_files"].default >= 100_000
