@@ -50,16 +50,25 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _window_keys(data: np.ndarray, length: int, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all short strings, and the smallest in each window of ``length`` bytes; every level has other hashes."""
-    up, down = _powers()
-    n = len(data)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-    h = (total[GRAM:] - total[:-GRAM]) * down[: n - GRAM + 1]
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Running sums from which the hash of any string of ``data`` follows."""
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers()[0][: len(data)], out=total[1:])
+    return total
+
+
+def _hashes(total: np.ndarray, width: int, level: int) -> np.ndarray:
+    """Hash of the string of ``width`` bytes at each place; every level has other hashes."""
+    h = (total[width:] - total[:-width]) * _powers()[1][: max(len(total) - width, 0)]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9 + 2 * level)
     h ^= h >> np.uint64(32)
+    return h
+
+
+def _window_keys(data: np.ndarray, length: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all short strings, and the smallest in each window of ``length`` bytes."""
+    h = _hashes(_sums(data), GRAM, level)
     width, m = length - GRAM + 1, len(h)
     padded = np.concatenate((h, np.full((-m) % width, 2**64 - 1, dtype=np.uint64))).reshape(-1, width)
     to_right = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
@@ -140,12 +149,11 @@ def lyndon_groups(text: np.ndarray, string: np.ndarray, problem: np.ndarray) ->
         inside[members] = True
         before, after = left[members], right[members]
         for near, link in ((before, left), (after, right)):
-            while True:
-                within = (near >= 0) & inside[near]
-                if not within.any():
-                    break
+            within = np.flatnonzero(near >= 0)
+            while len(within := within[inside[near[within]]]):
                 near[within] = link[near[within]]
-                link[members] = near
+                link[members[within]] = near[within]
+                within = within[near[within] >= 0]
         inside[members] = False
         there = after >= 0
         left[after[there]] = before[there]
@@ -199,13 +207,11 @@ def suffix_ranks(text: np.ndarray, string: np.ndarray, problem: np.ndarray) -> n
         follow = members + length[members]
         copies = np.ones(len(members), dtype=np.int64)
         # the same prefix again: more copies of it before something smaller make a larger suffix
-        while True:
-            same = follow < last[members]
-            same[same] = group[follow[same]] == group[members[same]]
-            if not same.any():
-                break
+        same = np.flatnonzero(follow < last[members])
+        while len(same := same[group[follow[same]] == group[members[same]]]):
             follow[same] += length[members[same]]
             copies[same] += 1
+            same = same[follow[same] < last[members[same]]]
         rest = np.where(follow < last[members], rank[np.minimum(follow, n)], -1)
         order = np.lexsort((rest, copies, owner))
         members, copies, rest, owner = members[order], copies[order], rest[order], owner[order]
@@ -253,6 +259,45 @@ def repeated_windows(problems: list[list[bytes]], length: int = LENGTH) -> list[
     return out
 
 
+def possible_repeats(keys: list[int], problems: list[list[bytes]], length: int = LENGTH, level: int = 0) -> list[list[bool]]:
+    """For each string of each set whether a window of it may stand anywhere else in the set; ``False`` is certain.
+
+    Every window of a set holds the short string its key is the hash of, with ``length - GRAM`` bytes around it. Of two
+    equal windows the half of those bytes that stand before it, or the half that stand after it, are therefore equal.
+    """
+    half = -(-(length - GRAM) // 2)
+    strings = [s for p in problems for s in p]
+    of_string = np.repeat(np.arange(len(problems), dtype=np.uint64), [len(p) for p in problems])
+    wanted = np.array(keys, dtype=np.int64).astype(np.uint64)[of_string.astype(np.int64)]
+    sizes = np.array([len(s) for s in strings], dtype=np.int64)
+    marks, owners = [], []
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(strings):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + CHUNK, side="right")))
+        part = np.arange(begin, end)
+        total = _sums(np.frombuffer(b"".join(strings[begin:end]), dtype=np.uint8))
+        last = np.cumsum(sizes[part])
+        owner = np.repeat(np.arange(len(part)), sizes[part])
+        at = np.flatnonzero(_hashes(total, GRAM, level) == wanted[part][owner[: max(len(owner) - GRAM + 1, 0)]])
+        at = at[at + GRAM <= last[owner[at]]]
+        sides = _hashes(total, half, level)
+        for side, first in enumerate((at - half, at + GRAM)):
+            mine = owner[at]
+            inside = (first >= (last - sizes[part])[mine]) & (first + half <= last[mine])
+            mine = part[mine[inside]]
+            own = (np.uint64(2) * of_string[mine] + np.uint64(side + 1)) * np.uint64(0x9E3779B97F4A7C15)
+            marks.append(sides[first[inside]] ^ own)
+            owners.append(mine)
+        begin = end
+    flags = np.zeros(len(strings), dtype=bool)
+    if marks:
+        _, which, times = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
+        flags[np.concatenate(owners)[times[which] > 1]] = True
+    found = iter(flags.tolist())
+    return [[next(found) for _ in p] for p in problems]
+
+
 def merged(starts: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
     """Byte spans that windows at ascending ``starts`` cover."""
     if not len(starts):
@@ -316,31 +361,49 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _sorted_sets(sets: DataFrame, length: int) -> DataFrame:
-    """``(context_key, spans)`` of every context of ``sets (key, context_key, context)``, rows of one key in a row."""
+def _sorted_sets(sets: DataFrame, length: int, level: int = 0) -> DataFrame:
+    """``(context_key, spans)`` of contexts of ``sets (key, context_key, context)``, rows of one key in a row.
 
-    def solve(keys, problems):
+    Contexts that cannot hold a repeated window (:func:`possible_repeats`) give no row and are not sorted.
+    """
+
+    def solve(names, problems):
         found = repeated_windows(problems, length)
-        ids = [k for p in keys for k in p]
+        ids = [k for p in names for k in p]
         spans = [_spans(merged(s, length)) for p in found for s in p]
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(spans, _SPAN_TYPE)], ["context_key", "spans"])
 
-    def run(batches):
-        keys, problems, size, current = [], [], 0, None
+    def read(batches):
+        """Lists of sets of about ``BATCH_BYTES``: their keys, the names of their contexts, and the contexts."""
+        keys, names, problems, size = [], [], [], 0
         for batch in batches:
             for key, name, context in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if key != current:
+                if not keys or key != keys[-1]:
                     if size >= BATCH_BYTES:
-                        yield solve(keys, problems)
-                        keys, problems, size = [], [], 0
-                    keys.append([])
+                        yield keys, names, problems
+                        keys, names, problems, size = [], [], [], 0
+                    keys.append(key)
+                    names.append([])
                     problems.append([])
-                    current = key
-                keys[-1].append(name)
+                names[-1].append(name)
                 problems[-1].append(context)
                 size += len(context)
+        if keys:
+            yield keys, names, problems
+
+    def run(batches):
+        chosen, problems, size = [], [], 0
+        for keys, names, contexts_of in read(batches):
+            for name, strings, may in zip(names, contexts_of, possible_repeats(keys, contexts_of, length, level)):
+                if any(may):
+                    chosen.append([n for n, m in zip(name, may) if m])
+                    problems.append([s for s, m in zip(strings, may) if m])
+                    size += sum(map(len, problems[-1]))
+            if size >= BATCH_BYTES:
+                yield solve(chosen, problems)
+                chosen, problems, size = [], [], 0
         if problems:
-            yield solve(keys, problems)
+            yield solve(chosen, problems)
 
     return sets.select("key", "context_key", "context").mapInArrow(run, f"context_key binary, spans {_SPANS}")
 
@@ -404,7 +467,7 @@ def _spans_of(found: DataFrame, length: int, level: int = 0) -> DataFrame:
     copied = sized.where("m > 1").select("context_key", whole.alias("spans"))
     small = sized.where((F.col("d") <= MAX_CONTEXTS) & ((F.col("d") > 1) | ((F.col("m") == 1) & F.col("twice"))))
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_sort = _sorted_sets(small.repartition(parts, "key").sortWithinPartitions("key"), length)
+    by_sort = _sorted_sets(small.repartition(parts, "key").sortWithinPartitions("key"), length, level)
     results = copied.union(by_sort)
     large = sized.where(F.col("d") > MAX_CONTEXTS)
     if not large.isEmpty():
