@@ -115,9 +115,11 @@ def _total(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def jensen_shannon(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance (root of the divergence in bits) of two histograms; null if one is empty."""
-    n, m = _total(counts), _total(reference)
+def jensen_shannon(counts: Column, reference: Column, n: Column, m: Column) -> Column:
+    """Jensen-Shannon distance (root of the divergence in bits) of two histograms; null if one is empty.
+
+    ``n`` and ``m`` are their totals, as columns of the row: a formula here would be worked out again for each class.
+    """
 
     def term(x, y):
         p, q = x / n, y / m
@@ -147,11 +149,12 @@ def quality_verdicts(
     references = stage(language_references(features), "quality-references")
     side = F.broadcast(references) if references.count() <= BROADCAST_LANGUAGES else references
     joined = features.join(side, "language", "left")
+    histograms = ("classes", "ref_classes", "common", "ref_common")
+    joined = joined.select("*", *[_total(F.col(h)).alias(f"n_{h}") for h in histograms])
     measured = joined.select(
         "*",
-        jensen_shannon(F.col("classes"), F.col("ref_classes")).alias("char_distance"),
-        jensen_shannon(F.col("common"), F.col("ref_common")).alias("word_distance"),
-        _total(F.col("common")).alias("n_common"),
+        jensen_shannon(*[F.col(h) for h in ("classes", "ref_classes", "n_classes", "n_ref_classes")]).alias("char_distance"),
+        jensen_shannon(*[F.col(h) for h in ("common", "ref_common", "n_common", "n_ref_common")]).alias("word_distance"),
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
     )
     far = ((F.col("n_chars") >= min_chars) & (F.coalesce("char_distance", F.lit(0.0)) > max_char_distance)) | (
