@@ -17,6 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,9 @@ END_ID = 2
 #: text bytes a data shard aims at
 SHARD_BYTES = 8 << 20
 #: distinct words a worker remembers with their ids; beyond half of it, those not met since the last turn are forgotten
-REMEMBERED_WORDS = 1_600_000
+REMEMBERED_WORDS = 1_200_000
+#: texts encoded together: a word that several of them hold is looked up once
+TEXTS = 1024
 
 INDEX_ENTRY = "<qQQ"
 _HEAD = "<QI"
@@ -130,6 +133,12 @@ def read_frames(data: bytes) -> list[tuple[int, bytes]]:
 
 
 _MARKS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+#: what a text of words between single spaces and single line ends does not match: no text, white space at an end, two in a
+#: row, or any other white space (the characters of ``str.isspace``)
+_OTHER_SPACE = (
+    r"\A\z|\A[ \n]|[ \n]\z|[ \n][ \n]|"
+    r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 
 class Encoder:
@@ -159,54 +168,67 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Remember the ids of words after a space, and of words that start a line together with the line end.
 
         Marks after a letter or digit are tokens of their own, so only the word before them has to be encoded.
         """
-        marked = {w: base for w in words if w[-1] in _MARKS and (base := w.rstrip(_MARKS))[-1:].isalnum()}
-        plain = (words - marked.keys()) | set(marked.values())
-        spaced = [w for w in plain if w[0] != "\n" and w not in self.known]
+        known = self.known
+        bases = [w.rstrip(_MARKS) for w in words]
+        marked = [(w, base) for w, base in zip(words, bases) if len(base) < len(w) and base[-1:].isalnum()]
+        cut = {w for w, _ in marked}
+        plain = {base for _, base in marked if base not in known}.union(words).difference(cut)
+        spaced = [w for w in plain if w[0] != "\n"]
         size = self.dtype.itemsize
         for start in range(0, len(spaced), 500):
             part = spaced[start : start + 500]
-            run = self.whole(["".join([" " + w for w in part])])[0]
+            run = self.whole([" " + " ".join(part)])[0]
             cuts = np.append(np.flatnonzero(self.starts[np.frombuffer(run, self.dtype)]) * size, len(run)).tolist()
-            self.known.update(zip(part, [run[a:b] for a, b in zip(cuts[:-1], cuts[1:])]))
-        lines = [w for w in plain if w[0] == "\n" and w not in self.known]
-        self.known.update(zip(lines, self.whole(lines)))
-        tails = list({w[len(base) :] for w, base in marked.items()} - self.tails.keys())
+            known.update(zip(part, map(run.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+        if len(spaced) < len(plain):
+            lines = [w for w in plain if w[0] == "\n"]
+            known.update(zip(lines, self.whole(lines)))
+        ends = [w[len(base) :] for w, base in marked]
+        tails = list(set(ends).difference(self.tails))
         self.tails.update(zip(tails, self.whole(tails)))
-        for w, base in marked.items():
-            self.known[w] = self.known[base] + self.tails[w[len(base) :]]
-
-    def _pieces(self, text: str) -> list[str] | None:
-        """Words after single spaces and, with it, after single line ends; None where there is other white space."""
-        regular = text and " ".join(text.split()) == text.replace("\n", " ")
-        if not regular or any(s in text for s in self.special):
-            return None
-        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        known.update(zip([w for w, _ in marked], [known[base] + self.tails[end] for (_, base), end in zip(marked, ends)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text; Arrow cuts the texts and looks at repeated words, and each distinct word is looked up once."""
         if len(self.known) > REMEMBERED_WORDS // 2:
             self.known, self.before, self.tails = {}, self.known, {}
-        get, before = self.known.get, self.before
-        split = list(map(self._pieces, texts))
-        found = [words and list(map(get, words)) for words in split]
-        lacking = [i for i, ids in enumerate(found) if ids and None in ids]
-        wanted = {w for i in lacking for w, ids in zip(split[i], found[i]) if ids is None}
-        again = {w: before[w] for w in wanted if w in before}
+        kind = pa.large_string()
+        column = pa.array(texts, kind)
+        irregular = pc.match_substring_regex(column, _OTHER_SPACE)
+        for special in self.special:
+            irregular = pc.or_(irregular, pc.match_substring(column, special))
+        whole = np.flatnonzero(irregular.to_numpy(zero_copy_only=False)).tolist()
+        out: list[bytes | None] = [None] * len(texts)
+        for i, ids in zip(whole, self.whole([texts[i] for i in whole])):
+            out[i] = ids
+        if len(whole) == len(texts):
+            return out
+        lines = pc.replace_substring(column.filter(pc.invert(irregular)), "\n", " \n")
+        # the first word of a text is looked up as one that starts a line, whose line end is left out again
+        pieces = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", kind), lines, pa.scalar("", kind)), " ")
+        found = pieces.flatten().dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids_of = list(map(self.known.get, words))
+        lacking = [i for i, ids in enumerate(ids_of) if ids is None]
+        wanted = [words[i] for i in lacking]
+        again = {w: self.before[w] for w in wanted if w in self.before} if self.before else {}
         self.known.update(again)
-        self._learn(wanted - again.keys())
-        for i in lacking:
-            found[i] = list(map(get, split[i]))
-        out = []
-        for text, ids in zip(texts, found):
-            if ids is None:
-                out.append(self.whole([text])[0])
-            else:
-                ids[0] = ids[0][len(self.line_end) :]
-                out.append(b"".join(ids))
+        self._learn([w for w in wanted if w not in again] if again else wanted)
+        for i, w in zip(lacking, wanted):
+            ids_of[i] = self.known[w]
+        run = pa.array(ids_of, pa.large_binary()).take(found.indices)
+        ends = np.frombuffer(run.buffers()[1], np.int64)[run.offset : run.offset + len(run) + 1][pieces.offsets.to_numpy()].tolist()
+        data, skipped = memoryview(run.buffers()[2]), len(self.line_end)
+        parts = iter(zip(ends[:-1], ends[1:]))
+        for i in range(len(out)):
+            if out[i] is None:
+                begin, end = next(parts)
+                out[i] = bytes(data[begin + skipped : end])
         return out
 
 
@@ -244,8 +266,8 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_b
         def shard_frames():
             at = 0
             for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256).to_pydict()
+                for start in range(0, batch.num_rows, TEXTS):
+                    part = batch.slice(start, TEXTS).to_pydict()
                     keys = [-(2**63) if doc is None else doc for doc in part["doc_id"]]
                     tokens = [ids + end for ids in encoder.encode([text or "" for text in part["text"]])]
                     for key, ids, out in zip(keys, tokens, frames([struct.pack("<q", k) + t for k, t in zip(keys, tokens)])):
@@ -258,6 +280,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_b
             write_file(folder, f"data-{shard:06d}.rec", (x for part in ((first,), stream) for x in part))
             write_file(folder, f"data-{shard:06d}.idx", index)
             count = len(index)
+        pa.default_memory_pool().release_unused()  # the worker stays, and other stages need the executor's memory
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([count], pa.int64())], ["shard", "records"])
 
     done = stage(_shards(chosen, shard_bytes).mapInArrow(run, "shard int, records long"), "records-shards")
