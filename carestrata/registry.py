@@ -19,7 +19,7 @@ from carestrata.plans.star import DATE, ENCOUNTER, OBSERVATION, CONDITION, PATIE
 from carestrata.schemas import resource_schema
 from carestrata.sources import fixtures as fx
 from carestrata.sources import landing, tables
-from carestrata.sources.storage import scratch_path, stage
+from carestrata.sources.storage import dealt, scratch_path, stage
 from carestrata.streaming.bronze_stream import read_reports, stream_bronze, stream_complete_batches
 from carestrata.streaming.complete_batches import waiting_batches
 
@@ -363,7 +363,9 @@ def stream_bronze_result(lh: Lakehouse) -> DataFrame:
             )
         )
         schema = landing.page_schema(pulls.schema["resource_data"].dataType)
-        pages.repartition("ingestion_date").write.mode("append").partitionBy("ingestion_date", "batch_id").json(where)
+        # a large day goes to several tasks and files, of the adaptive advisory size
+        shared_out = dealt(pages, ["ingestion_date"], "_extraction_metadata.page_number")
+        shared_out.write.mode("append").partitionBy("ingestion_date", "batch_id").json(where)
         stream_bronze(
             spark,
             root,

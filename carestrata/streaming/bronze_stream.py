@@ -61,9 +61,12 @@ def stream_bronze(
     data_schema = entry["resource"].dataType
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        broken = batch.filter(F.col("_corrupt_record").isNotNull() | F.col("fhir_bundle").isNull()).select("file_name")
-        if first := broken.first():
-            raise ValueError(f"unreadable page {first['file_name']}")
+        # one pass over the pages before the load; a batch holds as many days as were landed
+        broken = F.col("_corrupt_record").isNotNull() | F.col("fhir_bundle").isNull()
+        day = F.struct("ingestion_date")  # kept also where it is null
+        told = batch.agg(F.min(F.when(broken, F.col("file_name"))).alias("broken"), F.collect_set(day).alias("days")).first()
+        if told["broken"]:
+            raise ValueError(f"unreadable page {told['broken']}")
         rows = bronze_rows(
             explode_pages(batch, "ingestion_date"),
             source_system=source_system,
@@ -72,8 +75,7 @@ def stream_bronze(
             load_ts=load_ts,
             schema=data_schema,
         )
-        days = [r[0] for r in batch.select("ingestion_date").distinct().collect()] if date_local_batches else None
-        _insert_new(rows, target, days)
+        _insert_new(rows, target, [d[0] for d in told["days"]] if date_local_batches else None)
 
     query = (
         pages.writeStream.foreachBatch(merge)
