@@ -75,9 +75,13 @@ def _with_patient_sk(rows: DataFrame, patients: DataFrame) -> DataFrame:
     return rows.join(lookup, "patient_id", "left")
 
 
-def fact_encounter(silver_encounter: DataFrame, patients: DataFrame) -> DataFrame:
+def fact_encounter(silver_encounter: DataFrame, patients: DataFrame, by_day: bool = False) -> DataFrame:
+    """One row per encounter; ``by_day`` lays it out as :func:`clustered_by_day` says."""
     stay = F.col("length_of_stay_days")
-    joined = _with_patient_sk(silver_encounter, patients).withColumn(
+    joined = _with_patient_sk(silver_encounter, patients)
+    if by_day:  # before the columns that follow from the dates, which the shuffle then does not carry
+        joined = clustered_by_day(joined, "period_start", "encounter_id")
+    joined = joined.withColumn(
         "length_of_stay_days", F.datediff("period_end", "period_start").cast("double")
     )
     return joined.select(
@@ -92,8 +96,12 @@ def fact_encounter(silver_encounter: DataFrame, patients: DataFrame) -> DataFram
     )
 
 
-def fact_observation(silver_observation: DataFrame, patients: DataFrame) -> DataFrame:
-    return _with_patient_sk(silver_observation, patients).select(
+def fact_observation(silver_observation: DataFrame, patients: DataFrame, by_day: bool = False) -> DataFrame:
+    """One row per observation; ``by_day`` lays it out as :func:`clustered_by_day` says."""
+    joined = _with_patient_sk(silver_observation, patients)
+    if by_day:
+        joined = clustered_by_day(joined, "effective_date", "observation_id")
+    return joined.select(
         "observation_id",
         "patient_sk",
         "encounter_id",
@@ -103,12 +111,12 @@ def fact_observation(silver_observation: DataFrame, patients: DataFrame) -> Data
     )
 
 
-def clustered_by_day(fact: DataFrame, day_key: str, row_key: str) -> DataFrame:
+def clustered_by_day(fact: DataFrame, day: str, row_key: str) -> DataFrame:
     """The fact laid out by day for writing, so that date filters skip files.
 
     Ranges run over day and row key together: a day with very many rows is spread over several files.
     """
-    return fact.repartitionByRange(day_key, row_key).sortWithinPartitions(day_key, row_key)
+    return fact.repartitionByRange(day, row_key).sortWithinPartitions(day, row_key)
 
 
 def _with_day(fact: DataFrame, key: str, days: DataFrame, columns: list[str]) -> DataFrame:

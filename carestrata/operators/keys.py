@@ -20,7 +20,7 @@ def dense_key(df: DataFrame, order_by: str | list[str] | None, name: str, dtype:
     only one count per block is summed up and broadcast.
     """
     rows = df if order_by is None else df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
-    placed = stage(rows.withColumn("_pos", F.monotonically_increasing_id()), f"key-{name}")
+    placed = stage(rows.withColumn("_pos", F.monotonically_increasing_id()), f"key-{name}", compression="zstd")
 
     block = F.shiftright("_pos", _OFFSET_BITS).alias("_block")
     # one row per block, so at most as many rows as the write above had tasks

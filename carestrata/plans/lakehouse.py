@@ -11,25 +11,31 @@ from carestrata.operators import gold, scd2, silver
 from carestrata.operators.bronze import bronze_rows
 from carestrata.session import configure
 from carestrata.sources import fixtures as fx
-from carestrata.sources.storage import dealt, stage
+from carestrata.sources.storage import dealt, split_limit, stage
 
 AS_OF = date(2024, 6, 30)
 FIRST_LOAD, SECOND_LOAD = date(2024, 1, 1), date(2024, 1, 2)
 LAST_YEAR = 2026  # the bound the SQL for these layers states
 LOADED_AT = datetime(2024, 1, 2, 8, 0, tzinfo=timezone.utc)
 
-# Columns the stored copy is partitioned by, and the row key.
+# Bytes of stored rows a task reads while a layer is built: what it sorts before a shuffle follows this.
+SPLIT_BYTES = 16 * 1024 * 1024
+
+# How stored copies are written: row groups small enough to be split, and a codec that also shortens hexadecimal text.
+STORED = {"compression": "zstd", "parquet.block.size": str(2 * SPLIT_BYTES)}
+
+# Columns the stored copy is partitioned by, and the row key it is dealt by; without one, each task writes what it reads.
 PARTITIONS = {
     "bronze_patient": (["ingestion_date"], "resource_id"),
     "bronze_event": (["ingestion_date"], "resource_id"),
     "dim_patient": (["scd_current_flag"], "patient_id"),
-    "dim_condition": (["scd_current_flag"], "condition_id"),
+    "dim_condition": (["scd_current_flag"], None),
 }
 
-# Facts whose stored copy is laid out by day: day key, row key.
-BY_DAY = {
-    "fact_encounter": ("start_date_key", "encounter_id"),
-    "fact_observation": ("observation_date_key", "observation_id"),
+# Facts, whose stored copy is laid out by day: the Silver table and the operator.
+FACTS = {
+    "fact_encounter": ("silver_encounter", gold.fact_encounter),
+    "fact_observation": ("silver_observation", gold.fact_observation),
 }
 
 
@@ -43,13 +49,18 @@ class Lakehouse:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._stored:
-            rows = self.derive(name)
-            if name in BY_DAY:
-                rows = gold.clustered_by_day(rows, *BY_DAY[name])
             layout, key = PARTITIONS.get(name, (None, None))
-            self._stored[name] = stage(dealt(rows, layout, key) if layout else rows, name, layout)
+            rows = self.rows(name)
+            with split_limit(self.spark, SPLIT_BYTES):
+                self._stored[name] = stage(dealt(rows, layout, key) if key else rows, name, layout, **STORED)
         return self._stored[name]
 
+    def rows(self, name: str) -> DataFrame:
+        """The stored copy if there is one, else the plan that makes it, for a caller that stores the rows itself."""
+        if name in self._stored:
+            return self._stored[name]
+        return self._fact(name, by_day=True) if name in FACTS else self.derive(name)
+
     def derive(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
@@ -115,7 +126,8 @@ class Lakehouse:
         return scd2.open_versions(self.table("silver_patient_first"), FIRST_LOAD)
 
     def _dim_patient(self) -> DataFrame:
-        first, latest = self.table("dim_patient_first"), self.table("silver_patient")
+        # one projection over its own stored input, so it is not stored once more for this
+        first, latest = self.rows("dim_patient_first"), self.table("silver_patient")
         return scd2.apply_changes(first, latest, "patient_id", SECOND_LOAD)
 
     def _dim_condition(self) -> DataFrame:
@@ -130,13 +142,17 @@ class Lakehouse:
         return gold.gold_dim_patient(self.table("dim_patient"), AS_OF)
 
     def _gold_dim_condition(self) -> DataFrame:
-        return gold.gold_dim_condition(self.table("dim_condition"))
+        return gold.gold_dim_condition(self.rows("dim_condition"))
+
+    def _fact(self, name: str, by_day: bool = False) -> DataFrame:
+        source, build = FACTS[name]
+        return build(self.table(source), self.table("gold_dim_patient"), by_day)
 
     def _fact_encounter(self) -> DataFrame:
-        return gold.fact_encounter(self.table("silver_encounter"), self.table("gold_dim_patient"))
+        return self._fact("fact_encounter")
 
     def _fact_observation(self) -> DataFrame:
-        return gold.fact_observation(self.table("silver_observation"), self.table("gold_dim_patient"))
+        return self._fact("fact_observation")
 
     def _vw_fact_encounter(self) -> DataFrame:
         return gold.vw_fact_encounter(*[self.table(t) for t in ("fact_encounter", "gold_dim_patient", "dim_date")])

@@ -52,7 +52,7 @@ def _shifted(ts: str) -> Column:
 
 
 def _text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("string")
 
 
 def patient_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

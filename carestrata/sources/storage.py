@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SLOTS = 16
+_SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -36,13 +39,29 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+@contextmanager
+def split_limit(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Scans that run inside read at most ``limit`` bytes of files a task.
+
+    What a map task sorts or holds before a shuffle then follows this limit, however large the files grow.
+    """
+    before = spark.conf.get(_SPLIT)
+    if limit < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before):
+        spark.conf.set(_SPLIT, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT, before)
+
+
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a frame that reads it back.
 
     This cuts lineage with ordinary committed files, so a lost executor costs a re-read and not a recomputation.
+    ``options`` go to the Parquet writer.
     """
     path = scratch_path(df.sparkSession, label)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

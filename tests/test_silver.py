@@ -152,3 +152,20 @@ def test_day_by_day_refresh_equals_the_whole_transform(spark):
     assert step.exceptAll(whole).count() == 0 and whole.exceptAll(step).count() == 0
     again = silver.refresh_silver(whole, df, "encounter", "2024-01-03", load_ts=load)
     assert again.exceptAll(whole).count() == 0 and again.count() == whole.count()
+
+
+def test_the_whole_transform_shuffles_no_record_hash(spark):
+    when = ("b1", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), "SYS", "2024-01-01")
+    bodies = [({"id": str(i % 40), "status": f"s{i}"}, when) for i in range(400)]
+    df = bronze(spark, "encounter", *bodies)
+    load = dt.datetime(2024, 2, 1)
+    out = silver.to_silver(df, "encounter", load_ts=load)
+    want = silver.newest(silver.prepared(df, "encounter", load_ts=load), "encounter_id")
+    assert out.columns == want.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+    def shuffled(frame):
+        text = frame._jdf.queryExecution().optimizedPlan().toString()
+        return text[text.index("Window ") :].split("Project", 1)[0]
+
+    assert "record_hash" in shuffled(want) and "record_hash" not in shuffled(out)

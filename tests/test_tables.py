@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from carestrata.operators import checks
 from carestrata.plans.views import create_views
 from carestrata.sources import tables
+from carestrata.sources.storage import split_limit, stage
 
 
 def test_replace_may_read_the_table_it_replaces(spark, database):
@@ -229,3 +230,21 @@ def test_writers_of_small_files_follow_the_rows(spark):
     from carestrata.registry import _ROWS_PER_WRITER, _writers
 
     assert [_writers(spark.range(n)) for n in (0, 10, 6 * _ROWS_PER_WRITER + 1)] == [6, 6, 7]
+
+
+def test_split_limit_bounds_what_a_map_task_reads_and_is_undone(spark):
+    rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).repartition(1)
+    stored = stage(rows, "wide", compression="zstd", **{"parquet.block.size": str(1 << 20)})
+    assert all(".zstd." in f for f in stored.inputFiles())
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+
+    def most():
+        per_task = stored.select("h", F.spark_partition_id().alias("p")).groupBy("p").count()
+        return per_task.agg(F.max("count")).first()[0]
+
+    with split_limit(spark, 1 << 20):
+        assert most() < 50_000
+        with split_limit(spark, 1 << 40):
+            assert spark.conf.get(key) == str(1 << 20)
+    assert spark.conf.get(key) == before
