@@ -248,3 +248,18 @@ def test_split_limit_bounds_what_a_map_task_reads_and_is_undone(spark):
         with split_limit(spark, 1 << 40):
             assert spark.conf.get(key) == str(1 << 20)
     assert spark.conf.get(key) == before
+
+
+def test_stored_views_store_each_fact_once(spark, sf_dir):
+    from carestrata import registry
+    from carestrata.plans.lakehouse import Lakehouse
+
+    lake = Lakehouse(spark, sf_dir)
+    database = registry._stored_star(lake)
+    assert "gold_dim_patient" in lake._stored and not {"fact_encounter", "fact_observation"} & set(lake._stored)
+    for name in ("fact_encounter", "fact_observation", "gold_dim_condition"):
+        stored, want = spark.table(f"{database}.{name}"), lake.derive(name)
+        assert stored.exceptAll(want).count() == 0 and want.exceptAll(stored).count() == 0
+    lake.table("fact_encounter")
+    assert lake.rows("fact_encounter") is lake.table("fact_encounter")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
