@@ -26,10 +26,11 @@ from carestrata.llm.common import claim_folder, open_store, stage, write_file
 END_ID = 2
 #: text bytes a data shard aims at
 SHARD_BYTES = 8 << 20
-#: distinct words a worker remembers with their ids; beyond half of it, those not met since the last turn are forgotten
+#: distinct words a worker remembers with their ids, half of it for words met in two calls, of which those not met since
+#: the last turn are forgotten beyond it, and half for all others, which are forgotten together
 REMEMBERED_WORDS = 1_200_000
-#: texts encoded together: a word that several of them hold is looked up once
-TEXTS = 1024
+#: texts encoded together, and bytes beyond which fewer are: a word that several of them hold is looked up once
+TEXTS, TEXT_BYTES = 4096, 16 << 20
 
 INDEX_ENTRY = "<qQQ"
 _HEAD = "<QI"
@@ -133,6 +134,8 @@ def read_frames(data: bytes) -> list[tuple[int, bytes]]:
 
 
 _MARKS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+#: the end of a word whose marks behind it are tokens of their own
+_WORD_END = r"[\pL\pN]\z"
 #: what a text of words between single spaces and single line ends does not match: no text, white space at an end, two in a
 #: row, or any other white space (the characters of ``str.isspace``)
 _OTHER_SPACE = (
@@ -141,6 +144,10 @@ _OTHER_SPACE = (
 )
 
 
+def _listed(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Whole-text ids of a byte-level BPE whose words start at a space, with a bounded memory of words.
 
@@ -157,46 +164,84 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}  # words met earlier, of which those that are met again are kept
+        self.often, self.often_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.met = np.zeros(0, dtype=bool)  # of the words met often: since some were last forgotten
         getattr(self.tokenizer.model, "_resize_cache", lambda n: None)(0)  # words are remembered here instead
-        space = self.tokenizer.encode(" ").tokens[0]
-        self.starts = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
+        self.starts = {}  # by space and line end: is an id's token one that starts with it?
+        for between in " \n":
+            first = self.tokenizer.encode(between).tokens[0]
+            self.starts[between] = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.starts[between][[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(first)]] = True
         self.line_end = self.whole(["\n"])[0]
         self.tails: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _apart(self, words: list[str], between: str) -> list[bytes]:
+        """Ids of every word after ``between``, or of words that start with it, encoded together and cut where it starts."""
+        lead = between if words[0][0] != between else ""
+        runs = [lead + lead.join(words[i : i + 500]) for i in range(0, len(words), 500)]
+        ids = np.frombuffer(b"".join(self.whole(runs)), self.dtype)
+        cuts = np.append(np.flatnonzero(self.starts[between][ids]), len(ids))
+        if len(cuts) != len(words) + 1:
+            raise ValueError(f"this tokenizer does not cut words at {between!r}")
+        offsets = pa.py_buffer(cuts * ids.itemsize)
+        return _listed(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, offsets, pa.py_buffer(ids)]))
+
+    def _learn(self, words: list[str]) -> list[bytes]:
         """Remember the ids of words after a space, and of words that start a line together with the line end.
 
         Marks after a letter or digit are tokens of their own, so only the word before them has to be encoded.
         """
         known = self.known
-        bases = [w.rstrip(_MARKS) for w in words]
-        marked = [(w, base) for w, base in zip(words, bases) if len(base) < len(w) and base[-1:].isalnum()]
-        cut = {w for w, _ in marked}
-        plain = {base for _, base in marked if base not in known}.union(words).difference(cut)
-        spaced = [w for w in plain if w[0] != "\n"]
-        size = self.dtype.itemsize
-        for start in range(0, len(spaced), 500):
-            part = spaced[start : start + 500]
-            run = self.whole([" " + " ".join(part)])[0]
-            cuts = np.append(np.flatnonzero(self.starts[np.frombuffer(run, self.dtype)]) * size, len(run)).tolist()
-            known.update(zip(part, map(run.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
-        if len(spaced) < len(plain):
-            lines = [w for w in plain if w[0] == "\n"]
-            known.update(zip(lines, self.whole(lines)))
-        ends = [w[len(base) :] for w, base in marked]
+        column = pa.array(words, pa.large_string())
+        bases = pc.utf8_rtrim(column, _MARKS)
+        shorter = pc.less(pc.binary_length(bases), pc.binary_length(column))
+        cut = pc.and_(shorter, pc.match_substring_regex(bases, _WORD_END))
+        marked, bases = _listed(column.filter(cut)), _listed(bases.filter(cut))
+        plain = set(_listed(column.filter(pc.invert(cut))))
+        plain.update(base for base in bases if base not in known)
+        lines = [w for w in plain if w[0] == "\n"]
+        for between, part in (("\n", lines), (" ", list(plain.difference(lines)))):
+            if part:
+                known.update(zip(part, self._apart(part, between)))
+        ends = [w[len(base) :] for w, base in zip(marked, bases)]
         tails = list(set(ends).difference(self.tails))
         self.tails.update(zip(tails, self.whole(tails)))
-        known.update(zip([w for w, _ in marked], [known[base] + self.tails[end] for (_, base), end in zip(marked, ends)]))
+        known.update(zip(marked, [known[base] + self.tails[end] for base, end in zip(bases, ends)]))
+        return list(map(known.__getitem__, words))
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words. Those met in two calls are kept as Arrow columns and found there without Python objects."""
+        if len(self.known) > REMEMBERED_WORDS // 2:
+            self.known, self.tails = {}, {}
+        if len(self.often) > REMEMBERED_WORDS // 2:
+            self.often, self.often_ids = self.often.filter(pa.array(self.met)), self.often_ids.filter(pa.array(self.met))
+            self.met = np.zeros(len(self.often), dtype=bool)
+        place = pc.index_in(words, value_set=self.often).fill_null(-1).to_numpy().astype(np.int64)
+        missing = place < 0
+        self.met[place[~missing]] = True
+        rest = words.filter(pa.array(missing))
+        listed = _listed(rest)
+        ids_of = list(map(self.known.get, listed))
+        again = [i for i, ids in enumerate(ids_of) if ids is not None]
+        if len(again) < len(ids_of):
+            lacking = [i for i, ids in enumerate(ids_of) if ids is None]
+            for i, ids in zip(lacking, self._learn([listed[i] for i in lacking])):
+                ids_of[i] = ids
+        place[missing] = np.arange(len(self.often), len(self.often) + len(listed))
+        rest_ids = pa.array(ids_of, pa.large_binary())
+        out = pa.concat_arrays([self.often_ids, rest_ids]).take(pa.array(place))
+        if again:
+            moved = pa.array(again, pa.int64())
+            self.often = pa.concat_arrays([self.often, rest.take(moved)])
+            self.often_ids = pa.concat_arrays([self.often_ids, rest_ids.take(moved)])
+            self.met = np.append(self.met, np.ones(len(again), dtype=bool))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text; Arrow cuts the texts and looks at repeated words, and each distinct word is looked up once."""
-        if len(self.known) > REMEMBERED_WORDS // 2:
-            self.known, self.before, self.tails = {}, self.known, {}
         kind = pa.large_string()
         column = pa.array(texts, kind)
         irregular = pc.match_substring_regex(column, _OTHER_SPACE)
@@ -212,16 +257,7 @@ class Encoder:
         # the first word of a text is looked up as one that starts a line, whose line end is left out again
         pieces = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", kind), lines, pa.scalar("", kind)), " ")
         found = pieces.flatten().dictionary_encode()
-        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
-        ids_of = list(map(self.known.get, words))
-        lacking = [i for i, ids in enumerate(ids_of) if ids is None]
-        wanted = [words[i] for i in lacking]
-        again = {w: self.before[w] for w in wanted if w in self.before} if self.before else {}
-        self.known.update(again)
-        self._learn([w for w in wanted if w not in again] if again else wanted)
-        for i, w in zip(lacking, wanted):
-            ids_of[i] = self.known[w]
-        run = pa.array(ids_of, pa.large_binary()).take(found.indices)
+        run = self._ids_of(found.dictionary).take(found.indices)
         ends = np.frombuffer(run.buffers()[1], np.int64)[run.offset : run.offset + len(run) + 1][pieces.offsets.to_numpy()].tolist()
         data, skipped = memoryview(run.buffers()[2]), len(self.line_end)
         parts = iter(zip(ends[:-1], ends[1:]))
@@ -232,6 +268,14 @@ class Encoder:
         return out
 
 
+def _groups(texts: pa.Array) -> list[tuple[int, int]]:
+    """``(start, count)`` of neighbouring texts that are encoded together."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    turns = np.flatnonzero(np.diff(sizes // TEXT_BYTES, prepend=0) + np.diff(np.arange(len(sizes)) // TEXTS, prepend=0)).tolist()
+    starts = sorted({0, *turns}) if len(sizes) else []
+    return [(start, end - start) for start, end in zip(starts, [*starts[1:], len(sizes)])]
+
+
 @functools.cache
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -266,8 +310,8 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_b
         def shard_frames():
             at = 0
             for batch in batches:
-                for start in range(0, batch.num_rows, TEXTS):
-                    part = batch.slice(start, TEXTS).to_pydict()
+                for start, count in _groups(batch["text"]):
+                    part = batch.slice(start, count).to_pydict()
                     keys = [-(2**63) if doc is None else doc for doc in part["doc_id"]]
                     tokens = [ids + end for ids in encoder.encode([text or "" for text in part["text"]])]
                     for key, ids, out in zip(keys, tokens, frames([struct.pack("<q", k) + t for k, t in zip(keys, tokens)])):
