@@ -30,7 +30,7 @@ SHARD_BYTES = 8 << 20
 #: the last turn are forgotten beyond it, and half for all others, which are forgotten together
 REMEMBERED_WORDS = 1_200_000
 #: texts encoded together, and bytes beyond which fewer are: a word that several of them hold is looked up once
-TEXTS, TEXT_BYTES = 4096, 16 << 20
+TEXTS, TEXT_BYTES = 4096, 5 << 20
 
 INDEX_ENTRY = "<qQQ"
 _HEAD = "<QI"
@@ -168,15 +168,18 @@ class Encoder:
         self.met = np.zeros(0, dtype=bool)  # of the words met often: since some were last forgotten
         getattr(self.tokenizer.model, "_resize_cache", lambda n: None)(0)  # words are remembered here instead
         self.starts = {}  # by space and line end: is an id's token one that starts with it?
+        vocabulary = self.tokenizer.get_vocab()
         for between in " \n":
             first = self.tokenizer.encode(between).tokens[0]
             self.starts[between] = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-            self.starts[between][[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(first)]] = True
+            self.starts[between][[i for t, i in vocabulary.items() if t.startswith(first)]] = True
         self.line_end = self.whole(["\n"])[0]
         self.tails: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        parts = (texts[i : i + 8] for i in range(0, len(texts), 8))  # few at once, as the library's results are large
+        found = (e for part in parts for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))
+        return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
     def _apart(self, words: list[str], between: str) -> list[bytes]:
         """Ids of every word after ``between``, or of words that start with it, encoded together and cut where it starts."""
