@@ -230,3 +230,26 @@ def test_an_empty_extraction_leaves_a_manifest_without_files(spark, tmp_path):
     land(spark, f"{tmp_path}/raw", 0)
     manifest = landing.read_manifests(spark, f"{tmp_path}/raw", "patient").first()
     assert (manifest["page_count"], manifest["total_records"], manifest["files"]) == (0, 0, [])
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_landed_text_is_the_json_of_the_entries(spark, tmp_path, compression):
+    """Any text survives the page files, each line of which is one JSON document."""
+    import glob
+    import gzip
+
+    texts = ["a,b", 'q"u\\o\'te', "tab\tline\r\nend", "\x00\x01\x7f", "ü€𝄞", '{"a":1}', " sp ", "", None]
+    data = [(f"p{i}", t, t, [(t, [t])], [], (t,), None) for i, t in enumerate(texts)]
+    rows = spark.createDataFrame(data, resource_schema("patient")).select(F.struct("*").alias("resource")).coalesce(1)
+    how = {"batch_id": "b", "ingestion_date": DAY, "extraction_timestamp": "t", "api_url": "http://x", "page_size": 2}
+    landing.land_batch(rows, str(tmp_path), "patient", pages_per_file=2, compression=compression, **how)
+    files = glob.glob(f"{tmp_path}/patient/*/*/part-*.json{'.gz' if compression == 'gzip' else ''}")
+    opened = gzip.open if compression == "gzip" else open
+    lines = [json.loads(line) for f in files for line in opened(f, "rt", encoding="utf-8", newline="\n").read().splitlines()]
+    assert len(files) == 3 and sorted(p["_extraction_metadata"]["page_number"] for p in lines) == [1, 2, 3, 4, 5]
+    held = {e["resource"]["id"]: e for p in lines for e in p["fhir_bundle"]["entry"]}
+    assert [held[f"p{i}"]["resource"].get("gender") for i in range(len(texts))] == texts
+    assert held["p0"]["fullUrl"] == "http://x/Patient/p0" and "active" not in held["p0"]["resource"]
+    back = bronze.explode_pages(landing.read_pages(spark, str(tmp_path), "patient", ingestion_date=DAY))
+    got = {r[0]: r[1] for r in back.select("entry.resource.id", F.expr("entry.resource.name[0].family")).collect()}
+    assert [got[f"p{i}"] for i in range(len(texts))] == texts
